@@ -6,6 +6,7 @@ All results carry the grouping keys, ``window_start`` and ``window_end``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,10 +84,9 @@ def _sliding_sums(
     the overlap. Cells are then placed by key and block of window starts; a cell reaches at most
     two blocks. Expanding a cell to its windows happens inside the block, so the expanded rows
     are summed where they arise and never travel. A busy key is spread over its blocks, and a
-    block holds a fixed number of panes whatever the number of raw rows.
+    block holds a fixed number of panes whatever the number of raw rows. The partition count is
+    given, because merging partitions that are small before the expansion would undo the spread.
     """
-    from math import gcd
-
     keys = list(keys)
     second, pane_s = F.unix_seconds(ts), gcd(size_s, slide_s)
     cells = df.groupBy(*keys, aligned(second, pane_s).alias("_pane")).agg(
@@ -95,6 +95,7 @@ def _sliding_sums(
     block_s = slide_s * -(-4 * size_s // slide_s)
     first, last = start_range(F.col("_pane"), size_s, slide_s)
     lowest = F.col("_block")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         cells.select(
             *keys,
@@ -103,7 +104,7 @@ def _sliding_sums(
             last.alias("_last"),
             F.explode(steps(aligned(first, block_s), aligned(last, block_s), block_s)).alias("_block"),
         )
-        .repartition(*keys, "_block")
+        .repartition(partitions, *keys, "_block")
         .select(
             *keys,
             *parts,
