@@ -50,6 +50,7 @@ def cap_per_key_per_day(
     ts: str,
     limit: int,
     order_by: Sequence[str] = (),
+    message: str | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Pass the first ``limit`` rows per key and UTC day; one warning at row ``limit + 1``.
@@ -72,7 +73,7 @@ def cap_per_key_per_day(
             counted = running_count_per_day(df, keys, ts, order_by, "_n", hot_rows)
     passed = counted.filter(F.col("_n") <= limit).select(*df.columns)
     warnings = counted.filter(F.col("_n") == limit + 1).select(
-        *keys, F.col(ts).alias("at"), F.lit(over_limit_message(limit)).alias("message")
+        *keys, F.col(ts).alias("at"), F.lit(message or over_limit_message(limit)).alias("message")
     )
     return passed, warnings
 
