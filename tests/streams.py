@@ -16,9 +16,13 @@ _names = itertools.count()
 FAR = dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc)
 
 
-def as_stream(df: DataFrame, delay: str = "0 seconds", batches: int = 4, ts: str = "ts", swap: int = 0) -> DataFrame:
+def as_stream(
+    df: DataFrame, delay: str = "0 seconds", batches: int = 4, ts: str = "ts", swap: int = 0, **beat
+) -> DataFrame:
     """Rows in time order, cut into files that arrive one by one; a far-future row closes the end.
 
+    That row is null but for its time and ``beat``: Spark moves filters before the watermark, so
+    it has to pass those of the job.
     ``swap`` exchanges neighbours that many rows apart across the whole input, to get disorder.
     """
     spark = df.sparkSession
@@ -29,7 +33,7 @@ def as_stream(df: DataFrame, delay: str = "0 seconds", batches: int = 4, ts: str
     folder = tempfile.mkdtemp(prefix="tidemark-stream-")
     size = max(1, -(-len(rows) // batches))
     chunks = [rows[i : i + size] for i in range(0, len(rows), size)]
-    beat = {c: None for c in df.columns} | {ts: FAR}
+    beat = {c: None for c in df.columns} | beat | {ts: FAR}
     tables = [[r.asDict() for r in chunk] for chunk in chunks] + [[beat]]
     schema = pa.schema([(f.name, _arrow(f.dataType.simpleString())) for f in df.schema.fields])
     for number, content in enumerate(tables):

@@ -104,8 +104,8 @@ def window_join(
     right, rest = _right(b, on)
     if a.isStreaming or b.isStreaming:
         spec = (f"{size_s} seconds", f"{slide_s} seconds")
-        left = a.withColumn("_w", F.window(a_ts, *spec))
-        right = right.withColumn("_r_w", F.window(b_ts, *spec))
+        left = _window_in_place_of_time(a, a_ts, "_w", spec)
+        right = _window_in_place_of_time(right, b_ts, "_r_w", spec)
         end = F.col("_w.end")
     else:
         left = _ends(a, a_ts, size_s, slide_s).withColumnRenamed("window_end", "_w")
@@ -116,6 +116,12 @@ def window_join(
     return pairs.select(start.alias("window_start"), end.alias("window_end"), *a.columns, *rest)
 
 
+def _window_in_place_of_time(df: DataFrame, ts: str, window: str, spec: tuple[str, str]) -> DataFrame:
+    """Add the window, which takes over the watermark; Spark wants one such column per side."""
+    plain_time = F.timestamp_micros(F.unix_micros(ts)).alias(ts)
+    return df.select(*[plain_time if c == ts else c for c in df.columns], F.window(ts, *spec).alias(window))
+
+
 def _ends(df: DataFrame, ts: str, size_s: int, slide_s: int) -> DataFrame:
     if slide_s == size_s:
         return df.withColumn("window_end", F.timestamp_seconds(aligned(F.unix_seconds(ts), size_s) + size_s))

@@ -20,26 +20,17 @@ MAX_BUILTIN_OVERLAP = 12
 WATERMARK_METADATA = "spark.watermarkDelayMs"
 
 
-def watermark_delay_s(df: DataFrame, ts: str) -> int:
-    """Delay of the watermark already set on ``ts``; 0 when there is none."""
-    metadata = df.schema[ts].metadata or {}
-    return -(-int(metadata.get(WATERMARK_METADATA, 0)) // 1000)
-
-
 def sliding_ends(df: DataFrame, ts: str, size: int | str, slide: int | str) -> DataFrame:
     """One row per window of ``ts``, with the window end as the column ``window_end``.
 
     Project to the needed columns first: rows are multiplied by ``size / slide``. On a stream the
-    new column gets its own watermark, so that an aggregate over it can be closed.
+    window end takes over the watermark of ``ts``: once that has passed the end, no row can fall
+    into the window any more.
     """
-    size_s, slide_s = seconds(size), seconds(slide)
-    ends = F.explode(window_ends(F.unix_seconds(ts), size_s, slide_s))
-    out = df.withColumn("_end", ends).select(*df.columns, F.timestamp_seconds("_end").alias("window_end"))
-    if df.isStreaming:
-        # The latest window of a row ends at most `size` after it, so this closes a window when
-        # the watermark of the rows passes its end.
-        out = out.withWatermark("window_end", f"{watermark_delay_s(df, ts) + size_s} seconds")
-    return out
+    ends = F.explode(window_ends(F.unix_seconds(ts), seconds(size), seconds(slide)))
+    watermark = {k: v for k, v in (df.schema[ts].metadata or {}).items() if k == WATERMARK_METADATA}
+    end = F.timestamp_seconds("_end").alias("window_end", metadata=watermark or None)
+    return df.withColumn("_end", ends).select(*df.columns, end)
 
 
 def with_windows(df: DataFrame, ts: str, size: int | str, slide: int | str | None = None) -> DataFrame:

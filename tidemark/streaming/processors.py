@@ -21,7 +21,7 @@ from ..operators.patterns import MATCHED, NEXT, TIMEOUT
 Rows = list[tuple]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
-TIME = "_us"
+TIME = "at_us"
 
 
 def use_rocksdb(spark) -> None:
@@ -240,7 +240,7 @@ class DailyCap(StatefulProcessor):
         if not before:
             self.handle.registerTimer((int(key[-1]) + 1) * DAY_MS)
         self.seen.update((before + len(first),))
-        numbered = first[self.columns].assign(_n=range(before + 1, before + len(first) + 1))
+        numbered = first[self.columns].assign(n=range(before + 1, before + len(first) + 1))
         return iter([numbered])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -264,8 +264,10 @@ def _ddl(df: DataFrame, names: Sequence[str]) -> str:
 
 def _in_order(df: DataFrame, keys: list[str], ts: str, columns: list[str], make, results: str) -> DataFrame:
     """Rows as (time, columns..) through an InOrder processor built by ``make(layout..)``."""
-    timed = df.select(*keys, ts, F.unix_micros(ts).alias(TIME), *columns)
-    layout = (keys, [TIME, *columns], ["bigint", *_types(timed, columns)])
+    names = [f"in{i}" for i in range(len(columns))]
+    values = [F.col(c).alias(name) for c, name in zip(columns, names)]
+    timed = df.select(*keys, ts, F.unix_micros(ts).alias(TIME), *values)
+    layout = (keys, [TIME, *names], ["bigint", *_types(timed, names)])
     return _run(timed, keys, make(*layout), f"{_ddl(df, keys)}, {results}")
 
 
@@ -303,6 +305,11 @@ def match_sequence_stream(df, keys, ts, names, contiguity, within_s, tie) -> Dat
 
 
 def daily_cap(df, keys, ts, limit, order_by) -> DataFrame:
-    dated = df.withColumn("_day", F.unix_date(F.to_date(ts)))
-    schema = f"{_ddl(df, df.columns)}, _n BIGINT"
-    return _run(dated, [*keys, "_day"], DailyCap(order_by, df.columns, limit), schema, event_time=ts)
+    # Column names reach Python as field names, which excludes some; numbered names are safe.
+    inner = {c: f"in{i}" for i, c in enumerate(df.columns)}
+    named = df.select(*[F.col(c).alias(i) for c, i in inner.items()], F.unix_date(F.to_date(ts)).alias("day"))
+    columns = list(inner.values())
+    processor = DailyCap([inner[c] for c in order_by], columns, limit)
+    schema = f"{_ddl(named, columns)}, n BIGINT"
+    numbered = _run(named, [*[inner[k] for k in keys], "day"], processor, schema, event_time=inner[ts])
+    return numbered.select(*[F.col(i).alias(c) for c, i in inner.items()], F.col("n").alias("_n"))
