@@ -37,7 +37,7 @@ def with_windows(df: DataFrame, ts: str, size: int | str, slide: int | str | Non
     """Give rows a grouping column ``window`` (struct) or, for a large overlap, ``window_end``."""
     size_s = seconds(size)
     slide_s = seconds(slide) if slide is not None else size_s
-    if size_s <= MAX_BUILTIN_OVERLAP * slide_s:
+    if slide_s <= size_s <= MAX_BUILTIN_OVERLAP * slide_s:
         return df.withColumn("window", F.window(ts, f"{size_s} seconds", f"{slide_s} seconds"))
     return sliding_ends(df, ts, size_s, slide_s)
 
