@@ -11,8 +11,10 @@ from streams import as_stream, before_end, drain, drain_into, lines
 from tidemark.operators import (
     Step,
     cap_per_key_per_day,
+    connected,
     fail_pairs,
     fail_runs,
+    first_sights,
     interval_join,
     match_sequence,
     order_pay_status,
@@ -26,7 +28,8 @@ from tidemark.operators import (
     windowed_count,
     write_outputs,
 )
-from tidemark.streaming import ranked_sink, read_latest, running_top_n, upsert_log
+from tidemark.streaming import ranked_sink, read_latest, running_top_n, running_unique_sink, upsert_log
+from tidemark.streaming.processors import InOrder, in_order
 
 T0 = 1_700_000_000
 
@@ -202,3 +205,51 @@ def test_any_aggregate(events):
     profile = lambda df: windowed_agg(df, ["kind"], "ts", "1 hour", top=F.max("value"), low=F.min("item_id"))
     stream = before_end(drain(profile(as_stream(events, **DISORDER))), "window_end")
     assert lines(stream) == lines(profile(events))
+
+
+def test_distinct_ids_are_numbered_as_they_come(events):
+    out, state = tempfile.mkdtemp(prefix="tidemark-out-"), tempfile.mkdtemp(prefix="tidemark-state-")
+    sights = first_sights(as_stream(events, **DISORDER), "user_id", "ts", "30 minutes", "exact")
+    drain_into(sights, running_unique_sink(parquet_sink(out), state, "2 hours"), "append")
+    given = before_end(events.sparkSession.read.parquet(out), "window_end")
+    windows = given.groupBy("window_end").agg(
+        F.max("count").alias("count"), F.count_distinct("count").alias("steps"), F.count_distinct("id").alias("ids")
+    )
+    assert windows.filter("count <> steps or count <> ids").isEmpty()
+    expected = unique_count(events, "user_id", "ts", "30 minutes").select("window_end", "count")
+    assert lines(windows.select("window_end", "count")) == lines(expected)
+
+
+def test_a_rule_of_ones_own_over_two_inputs(sides):
+    class LastReceipt(InOrder):
+        """For every pay, the receipt of the same key seen last before it."""
+
+        memory_schema = "receipt BIGINT"
+
+        def advance(self, memory, rows, mark):
+            found, receipt = [], memory[0][0] if memory else None
+            for at, side, event_id in rows:
+                if side == "right":
+                    receipt = event_id
+                else:
+                    found.append((at, receipt))
+            return found, [] if receipt is None else [(receipt,)], None
+
+    pays, receipts = (df.withColumnRenamed(c, "ts") for df, c in zip(sides, ("pay_ts", "receipt_ts")))
+    both = lambda a, b: connected(a, b).select("tx", "ts", "side", "event_id")
+    stream = in_order(
+        both(as_stream(pays), as_stream(receipts)),
+        ["tx"],
+        "ts",
+        ["side", "event_id"],
+        LastReceipt,
+        "pay_us BIGINT, receipt BIGINT",
+    )
+    expected, last = [], {}
+    for r in sorted(both(pays, receipts).collect(), key=lambda r: (r.ts, r.side)):
+        if r.side == "right":
+            last[r.tx] = r.event_id
+        else:
+            expected.append((r.tx, last.get(r.tx)))
+    got = [(r.tx, r.receipt) for r in drain(stream).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)

@@ -41,6 +41,11 @@ def event_time(epoch: Column | str, unit: str = "s") -> Column:
     return F.timestamp_seconds(col) if unit == "s" else F.timestamp_millis(col)
 
 
+def plain_time(ts: str) -> Column:
+    """The time without its watermark; a stateful step accepts one column with a watermark only."""
+    return F.timestamp_micros(F.unix_micros(ts)).alias(ts)
+
+
 def with_event_time(
     df: DataFrame, epoch: str, unit: str = "s", delay: int | str = ASCENDING, ts: str = "ts"
 ) -> DataFrame:

@@ -1,6 +1,6 @@
 from .detectors import cap_per_key_per_day, fail_pairs, fail_runs, order_pay_status, running_count_per_day
-from .distinct import running_unique_count, unique_count
-from .joins import interval_join, prefixed, reconcile, window_join
+from .distinct import first_sights, running_unique_count, unique_count
+from .joins import connected, interval_join, prefixed, reconcile, window_join
 from .ordered import OrderedGroups
 from .outputs import parquet_sink, split_outputs, tagged, write_outputs
 from .patterns import Step, match_sequence
@@ -11,8 +11,10 @@ __all__ = [
     "OrderedGroups",
     "Step",
     "cap_per_key_per_day",
+    "connected",
     "fail_pairs",
     "fail_runs",
+    "first_sights",
     "interval_join",
     "latest_per_key",
     "match_sequence",

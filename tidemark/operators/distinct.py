@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bitmap_position
-from ..functions.time import seconds
+from ..functions.time import plain_time, seconds
 from .ordered import HOT_ROWS, OrderedGroups
 from .windows import windowed_agg
 
@@ -47,6 +47,20 @@ def unique_count(
     )
 
 
+def first_sights(
+    stream: DataFrame, id_col: str, ts: str, size: int | str = "1 hour", method: str = "bitmap"
+) -> DataFrame:
+    """On a stream: one row per window and id, given out when the id is first met.
+
+    ``streaming.running_unique_sink`` numbers them as they come.
+    """
+    window = F.window(ts, f"{seconds(size)} seconds")
+    rows = stream.select(window.alias("window"), _identity(id_col, method).alias("id"), plain_time(ts).alias("first_seen"))
+    return rows.dropDuplicates(["window", "id"]).select(
+        F.col("window.end").alias("window_end"), "id", "first_seen"
+    )
+
+
 def running_unique_count(
     df: DataFrame,
     id_col: str,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import aligned, seconds, steps
+from ..functions.time import aligned, plain_time, seconds, steps
 from .windows import sliding_ends
 
 MATCHED = "matched"
@@ -18,6 +18,15 @@ def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
+def connected(a: DataFrame, b: DataFrame, tags: tuple[str, str] = ("left", "right"), side: str = "side") -> DataFrame:
+    """Both inputs as one, told apart by ``side``, for rules that see the rows of two inputs by key.
+
+    Columns of the same name are shared; a row is null in those of the other input.
+    """
+    left, right = (df.withColumn(side, F.lit(tag)) for df, tag in zip((a, b), tags))
+    return left.unionByName(right, allowMissingColumns=True)
+
+
 def _offset(ts: str, offset_s: int) -> Column:
     return F.col(ts) + F.expr(f"INTERVAL '{offset_s}' SECOND")
 
@@ -117,9 +126,9 @@ def window_join(
 
 
 def _window_in_place_of_time(df: DataFrame, ts: str, window: str, spec: tuple[str, str]) -> DataFrame:
-    """Add the window, which takes over the watermark; Spark wants one such column per side."""
-    plain_time = F.timestamp_micros(F.unix_micros(ts)).alias(ts)
-    return df.select(*[plain_time if c == ts else c for c in df.columns], F.window(ts, *spec).alias(window))
+    """Add the window, which takes over the watermark of the time."""
+    columns = [plain_time(c) if c == ts else c for c in df.columns]
+    return df.select(*columns, F.window(ts, *spec).alias(window))
 
 
 def _ends(df: DataFrame, ts: str, size_s: int, slide_s: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,14 +52,14 @@ def match_sequence(
         raise ValueError("need at least two steps, each 'next' or 'followed_by'")
     within_s = seconds(within)
     tie = [c for c in order_by if c != ts]
+    if all(s.contiguity == FOLLOWED_BY for s in steps[1:]):
+        # Events that are no step cannot change a relaxed sequence: leave them in the scan.
+        useful = steps[0].condition
+        for s in steps[1:]:
+            useful = useful | s.condition
+        df = df.filter(useful)
     flags = [F.coalesce(s.condition, F.lit(False)).alias(f"_is{i}") for i, s in enumerate(steps)]
     rows = df.select(*keys, ts, *tie, *flags)
-    if all(s.contiguity == FOLLOWED_BY for s in steps[1:]):
-        # Events that are no step cannot change a relaxed sequence: drop them before the shuffle.
-        useful = F.lit(False)
-        for i in range(len(steps)):
-            useful = useful | F.col(f"_is{i}")
-        rows = rows.filter(useful)
     if df.isStreaming:
         from ..streaming.processors import match_sequence_stream
 
@@ -71,10 +71,6 @@ def match_sequence(
     return found if on_timeout else found.filter(F.col("output") == MATCHED)
 
 
-def _chain(times: Column, done: Column, broke: Column) -> Column:
-    return F.struct(times.alias("times"), done.alias("done"), broke.cast("timestamp").alias("broke"))
-
-
 def _match_batch(
     rows: DataFrame,
     keys: list[str],
@@ -86,40 +82,43 @@ def _match_batch(
 ) -> DataFrame:
     """Work from the last step back: every event learns how the sequence goes on from it.
 
-    ``_tail{i}`` of an event fitting step i holds the times of steps i, i+1, .. as far as they
-    were found, whether that is all of them, and the time of the event that broke a strict step.
+    ``_tail{i}`` of an event fitting step i holds the times ``t{i}, t{i+1}, ..`` of the steps as
+    far as they were found, and in ``broke`` the time of the event that failed a strict step.
     """
     groups = OrderedGroups(rows, keys, [ts, *tie], hot_rows, reverse=True)
-    here, none = F.array(F.col(ts)), F.lit(None)
     last = len(steps) - 1
-    groups = groups.with_column(f"_tail{last}", F.when(F.col(f"_is{last}"), _chain(here, F.lit(True), none)))
+    never = F.lit(None).cast("timestamp")
+
+    def tail_from(i: int, further: Callable[[int], Column], broke: Column) -> Column:
+        times = [F.col(ts).alias(f"t{i}")] + [further(j).alias(f"t{j}") for j in range(i + 1, last + 1)]
+        return F.struct(*times, broke.alias("broke"))
+
+    groups = groups.with_column(f"_tail{last}", F.when(F.col(f"_is{last}"), tail_from(last, None, never)))
     for i in range(last - 1, -1, -1):
         further = F.col(f"_tail{i + 1}")
         if steps[i + 1].contiguity == FOLLOWED_BY:
             groups = groups.with_next_present("_ahead", further)
-            tail, broke = F.col("_ahead"), none
+            tail, broke = F.col("_ahead"), never
         else:
             groups = groups.with_next("_ahead", F.struct(F.col(ts).alias("at"), further.alias("tail")))
             tail, broke = F.col("_ahead.tail"), F.col("_ahead.at")
-        going_on = _chain(F.concat(here, tail.getField("times")), tail.getField("done"), tail.getField("broke"))
-        stuck = _chain(here, F.lit(False), broke)
-        groups = groups.with_column(
-            f"_tail{i}", F.when(F.col(f"_is{i}"), F.when(tail.isNotNull(), going_on).otherwise(stuck))
-        )
+        going_on = tail_from(i, lambda j: tail.getField(f"t{j}"), tail.getField("broke"))
+        stuck = tail_from(i, lambda j: never, broke)
+        here = F.when(tail.isNotNull(), going_on).otherwise(stuck)
+        groups = groups.with_column(f"_tail{i}", F.when(F.col(f"_is{i}"), here))
+
     limit_us = within_s * 1_000_000
     start = F.unix_micros(ts)
     in_time = lambda at: F.unix_micros(at) - start < limit_us
-    times, broke = F.col("_tail0.times"), F.col("_tail0.broke")
-    kept = in_time(F.element_at(times, -1))
+    times = [F.col(f"_tail0.t{i}") for i in range(last + 1)]
+    broke = F.col("_tail0.broke")
+    # Times only grow along the steps, and greatest() skips the missing ones.
     output = (
-        F.when(~kept, TIMEOUT)
-        .when(F.col("_tail0.done"), MATCHED)
+        F.when(~in_time(F.greatest(*times)), TIMEOUT)
+        .when(times[last].isNotNull(), MATCHED)
         .when(broke.isNull() | ~in_time(broke), TIMEOUT)
     )
-    step_times = []
-    for i, step in enumerate(steps):
-        at = F.get(times, i)
-        step_times.append(F.when(in_time(at), at).alias(f"{step.name}_ts"))
+    step_times = [F.when(in_time(at), at).alias(f"{step.name}_ts") for step, at in zip(steps, times)]
     return (
         groups.rows()
         .filter(F.col("_is0"))

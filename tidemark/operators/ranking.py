@@ -49,7 +49,13 @@ def ranked_report(
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Keep the row with the highest ``version`` per key: a corrected count replaces the older."""
-    values = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(version)).alias("_newest"))
-    return newest.select(*keys, *[F.col(f"_newest.{v}").alias(v) for v in values])
+    """Keep the row with the highest ``version`` per key: a corrected count replaces the older.
+
+    A version occurs once per key. Columns are picked one by one, so that fixed-width columns
+    stay in a hash aggregate.
+    """
+    values = [c for c in df.columns if c not in keys and c != version]
+    newest = df.groupBy(*keys).agg(
+        F.max(version).alias(version), *[F.max_by(v, version).alias(v) for v in values]
+    )
+    return newest.select(*df.columns)

@@ -1,3 +1,3 @@
-from .sinks import ranked_sink, read_latest, running_top_n, upsert_log
+from .sinks import ranked_sink, read_latest, running_top_n, running_unique_sink, upsert_log
 
-__all__ = ["ranked_sink", "read_latest", "running_top_n", "upsert_log"]
+__all__ = ["ranked_sink", "read_latest", "running_top_n", "running_unique_sink", "upsert_log"]

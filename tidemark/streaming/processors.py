@@ -8,10 +8,10 @@ delay and the rule's own time limit hold back. The state store has to be the Roc
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -21,6 +21,7 @@ from ..operators.patterns import MATCHED, NEXT, TIMEOUT
 Rows = list[tuple]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
+APPEND_ROWS = 1000
 TIME = "at_us"
 
 
@@ -28,6 +29,10 @@ def use_rocksdb(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def _nulls_first(row: tuple) -> list:
+    return [(value is not None, value) for value in row]
+
+
 class InOrder(StatefulProcessor):
     """Calls ``advance`` with the rows the watermark has passed, oldest first.
 
@@ -35,10 +40,10 @@ class InOrder(StatefulProcessor):
     """
 
     memory_schema: str
-    results: list[str]
+    fields: list[str]  # of a result row: the keys, then what the rule gives
 
-    def __init__(self, keys: Sequence[str], columns: Sequence[str], column_types: Sequence[str]):
-        self.keys, self.columns = list(keys), list(columns)
+    def __init__(self, columns: Sequence[str], column_types: Sequence[str]):
+        self.columns = list(columns)
         self.row_schema = ", ".join(f"c{i} {kind}" for i, kind in enumerate(column_types))
 
     def advance(self, memory: Rows, rows: Rows, mark: int) -> tuple[Rows, Rows, int | None]:
@@ -61,23 +66,27 @@ class InOrder(StatefulProcessor):
         self.handle.registerTimer(at)
         self.wake.update((at,))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
-        for chunk in rows:
-            if len(chunk):
-                self.waiting.appendList(list(zip(*[chunk[c].tolist() for c in self.columns])))
-                first = int(chunk[TIME].min())
-                earliest = first if earliest is None else min(earliest, first)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        earliest, batch = None, []
+        for row in rows:
+            values = tuple(row[c] for c in self.columns)
+            earliest = values[0] if earliest is None else min(earliest, values[0])
+            batch.append(values)
+            if len(batch) == APPEND_ROWS:
+                self.waiting.appendList(batch)
+                batch = []
+        if batch:
+            self.waiting.appendList(batch)
         if earliest is not None:
             self._wake_after(earliest)
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.wake.exists() or self.wake.get()[0] != expiredTimerInfo.getExpiryTimeInMs():
             return iter([])
         self.wake.clear()
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(self.waiting.get()) if self.waiting.exists() else []
+        held = sorted(self.waiting.get(), key=_nulls_first) if self.waiting.exists() else []
         ready = [row for row in held if row[0] < mark]
         memory = list(self.memory.get()) if self.memory.exists() else []
         results, memory, due = self.advance(memory, ready, mark)
@@ -87,9 +96,8 @@ class InOrder(StatefulProcessor):
         times = [row[0] for row in later[:1]] + ([due] if due is not None else [])
         if times:
             self._wake_after(min(times))
-        if not results:
-            return iter([])
-        return iter([pd.DataFrame([(*key, *r) for r in results], columns=self.keys + self.results)])
+        result = Row(*self.fields)
+        return iter([result(*key, *r) for r in results])
 
     @staticmethod
     def _store(state, rows: Rows) -> None:
@@ -101,7 +109,6 @@ class InOrder(StatefulProcessor):
 
 class FailPairs(InOrder):
     memory_schema = "at BIGINT"
-    results = ["first_us", "last_us"]
 
     def __init__(self, *layout, gap_us: int):
         super().__init__(*layout)
@@ -118,7 +125,6 @@ class FailPairs(InOrder):
 
 class FailRuns(InOrder):
     memory_schema = "length BIGINT, first BIGINT"
-    results = ["first_us", "last_us"]
 
     def __init__(self, *layout, span_us: int, min_fails: int):
         super().__init__(*layout)
@@ -140,7 +146,6 @@ class FailRuns(InOrder):
 
 class OrderPay(InOrder):
     memory_schema = "opened BIGINT"
-    results = ["create_us", "pay_us", "result"]
 
     def __init__(self, *layout, timeout_us: int, keep_us: int):
         super().__init__(*layout)
@@ -178,7 +183,6 @@ class StepSequence(InOrder):
     def __init__(self, *layout, contiguity: Sequence[str], within_us: int):
         super().__init__(*layout)
         self.contiguity, self.within_us = list(contiguity), within_us
-        self.results = [f"t{i}" for i in range(len(contiguity))] + ["output"]
 
     def _row(self, times: list[int], output: str) -> tuple:
         return (*times, *[None] * (len(self.contiguity) - len(times)), output)
@@ -248,12 +252,6 @@ class DailyCap(StatefulProcessor):
         return iter([])
 
 
-def _run(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str, event_time: str = "") -> DataFrame:
-    return df.groupBy(*keys).transformWithStateInPandas(
-        processor, schema, "append", "EventTime", eventTimeColumnName=event_time
-    )
-
-
 def _types(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [df.schema[c].dataType.simpleString() for c in names]
 
@@ -262,13 +260,20 @@ def _ddl(df: DataFrame, names: Sequence[str]) -> str:
     return ", ".join(f"`{c}` {kind}" for c, kind in zip(names, _types(df, names)))
 
 
-def _in_order(df: DataFrame, keys: list[str], ts: str, columns: list[str], make, results: str) -> DataFrame:
-    """Rows as (time, columns..) through an InOrder processor built by ``make(layout..)``."""
+def in_order(
+    df: DataFrame, keys: list[str], ts: str, columns: list[str], make: Callable[..., InOrder], results: str
+) -> DataFrame:
+    """Hand the rows of each key, as tuples (time, columns..), to an ``InOrder`` rule.
+
+    ``make`` gets the layout the rule passes on to ``InOrder.__init__``; ``results`` is the DDL of
+    its result columns. This is the way to add further rules of one's own.
+    """
     names = [f"in{i}" for i in range(len(columns))]
     values = [F.col(c).alias(name) for c, name in zip(columns, names)]
     timed = df.select(*keys, ts, F.unix_micros(ts).alias(TIME), *values)
-    layout = (keys, [TIME, *names], ["bigint", *_types(timed, names)])
-    return _run(timed, keys, make(*layout), f"{_ddl(df, keys)}, {results}")
+    rule = make([TIME, *names], ["bigint", *_types(timed, names)])
+    rule.fields = [*keys, *[column.split()[0] for column in results.split(", ")]]
+    return timed.groupBy(*keys).transformWithState(rule, f"{_ddl(df, keys)}, {results}", "append", "EventTime")
 
 
 def _at(name: str, alias: str):
@@ -278,21 +283,21 @@ def _at(name: str, alias: str):
 def fail_pairs_stream(df, keys, ts, gap_s, order_by) -> DataFrame:
     columns = [c for c in order_by if c != ts] + ["_fail"]
     make = lambda *layout: FailPairs(*layout, gap_us=gap_s * 1_000_000)
-    pairs = _in_order(df, keys, ts, columns, make, "first_us BIGINT, last_us BIGINT")
+    pairs = in_order(df, keys, ts, columns, make, "first_us BIGINT, last_us BIGINT")
     return pairs.select(*keys, _at("first_us", "first_fail"), _at("last_us", "last_fail"))
 
 
 def fail_runs_stream(df, keys, ts, span_s, min_fails, order_by) -> DataFrame:
     columns = [c for c in order_by if c != ts] + ["_fail"]
     make = lambda *layout: FailRuns(*layout, span_us=span_s * 1_000_000, min_fails=min_fails)
-    runs = _in_order(df, keys, ts, columns, make, "first_us BIGINT, last_us BIGINT")
+    runs = in_order(df, keys, ts, columns, make, "first_us BIGINT, last_us BIGINT")
     return runs.select(*keys, _at("first_us", "first_fail"), _at("last_us", "last_fail"))
 
 
 def order_pay_stream(df, keys, ts, timeout_s, keep_s, order_by) -> DataFrame:
     columns = ["_pay", *[c for c in order_by if c != ts]]
     make = lambda *layout: OrderPay(*layout, timeout_us=timeout_s * 1_000_000, keep_us=keep_s * 1_000_000)
-    found = _in_order(df, keys, ts, columns, make, "create_us BIGINT, pay_us BIGINT, result STRING")
+    found = in_order(df, keys, ts, columns, make, "create_us BIGINT, pay_us BIGINT, result STRING")
     return found.select(*keys, _at("create_us", "create_ts"), _at("pay_us", "pay_ts"), "result")
 
 
@@ -300,7 +305,7 @@ def match_sequence_stream(df, keys, ts, names, contiguity, within_s, tie) -> Dat
     columns = [*tie, *[f"_is{i}" for i in range(len(names))]]
     make = lambda *layout: StepSequence(*layout, contiguity=contiguity, within_us=within_s * 1_000_000)
     times = ", ".join(f"t{i} BIGINT" for i in range(len(names)))
-    found = _in_order(df, keys, ts, columns, make, f"{times}, output STRING")
+    found = in_order(df, keys, ts, columns, make, f"{times}, output STRING")
     return found.select(*keys, *[_at(f"t{i}", f"{name}_ts") for i, name in enumerate(names)], "output")
 
 
@@ -311,5 +316,7 @@ def daily_cap(df, keys, ts, limit, order_by) -> DataFrame:
     columns = list(inner.values())
     processor = DailyCap([inner[c] for c in order_by], columns, limit)
     schema = f"{_ddl(named, columns)}, n BIGINT"
-    numbered = _run(named, [*[inner[k] for k in keys], "day"], processor, schema, event_time=inner[ts])
+    numbered = named.groupBy(*[inner[k] for k in keys], "day").transformWithStateInPandas(
+        processor, schema, "append", "EventTime", eventTimeColumnName=inner[ts]
+    )
     return numbered.select(*[F.col(i).alias(c) for c, i in inner.items()], F.col("n").alias("_n"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ITEM_REPORT, ReportFormat
 from ..functions.time import seconds
+from ..operators.ordered import OrderedGroups
 from ..operators.outputs import Sink
 from ..operators.ranking import latest_per_key, top_n
 
@@ -46,11 +47,6 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     return latest_per_key(spark.read.parquet(path).drop("part"), keys, "version").drop("version")
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def running_top_n(
     sink: Sink,
     state_path: str,
@@ -74,33 +70,71 @@ def running_top_n(
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.select(partition, tie_break, metric, F.lit(True).alias("_new"))
-        if batch_id > 0:
-            before = spark.read.parquet(f"{state_path}/state={batch_id - 1}")
-            rows = rows.unionByName(before.select(partition, tie_break, metric, F.lit(False).alias("_new")))
+        before = _state_before(spark, state_path, batch_id)
+        if before is not None:
+            rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
         merged = rows.groupBy(partition, tie_break).agg(
             F.max(metric).alias(metric), F.bool_or("_new").alias("_new")
         )
         ranked = top_n(merged.withColumn("_entry", F.struct(tie_break, "_new")), partition, metric, "_entry", n)
-        per_window = Window.partitionBy(partition)
-        current = (
-            ranked.select(partition, F.col("_entry.*"), metric, "rank")
-            .withColumn("_changed", F.bool_or("_new").over(per_window))
-            .drop("_new")
-        )
-        current.write.mode("overwrite").parquet(f"{state_path}/all={batch_id}")
-        stored = spark.read.parquet(f"{state_path}/all={batch_id}")
-        limit = stored.agg(F.max(partition)).first()[0]
-        open_windows = stored
-        if limit is not None:
-            open_windows = stored.filter(
-                F.col(partition) > F.lit(limit) - F.make_interval(secs=F.lit(horizon_s))
-            )
-        open_windows.select(partition, tie_break, metric).write.mode("overwrite").parquet(
-            f"{state_path}/state={batch_id}"
-        )
+        current = ranked.select(partition, F.col("_entry.*"), metric, "rank")
+        changed = F.bool_or("_new").over(Window.partitionBy(partition))
+        stored = _store(current.withColumn("_changed", changed).drop("_new"), f"{state_path}/rows={batch_id}")
+        kept = _recent(stored, partition, horizon).select(partition, tie_break, metric)
+        _store(kept, f"{state_path}/state={batch_id}")
         sink(stored.filter("_changed").drop("_changed"), batch_id)
-        if batch_id > 1:
-            _drop_folder(spark, f"{state_path}/state={batch_id - 2}")
-            _drop_folder(spark, f"{state_path}/all={batch_id - 2}")
+        _forget(spark, state_path, batch_id)
+
+    return step
+
+
+def running_unique_sink(
+    sink: Sink, state_path: str, horizon: int | str
+) -> Callable[[DataFrame, int], None]:
+    """For ``first_sights``: number the distinct ids of every window as they come, 1, 2, 3, ..
+
+    The count reached per open window is kept between micro-batches as for ``running_top_n``.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = _store(batch, f"{state_path}/rows={batch_id}")
+        order = ["first_seen", "id"]
+        numbered = OrderedGroups(rows, ["window_end"], order).with_running_sum("_n", F.lit(1).cast("bigint")).rows()
+        counts = rows.groupBy("window_end").agg(F.count(F.lit(1)).alias("count"))
+        before = _state_before(spark, state_path, batch_id)
+        if before is None:
+            numbered = numbered.withColumnRenamed("_n", "count")
+        else:
+            total = F.col("_n") + F.coalesce("count", F.lit(0))
+            numbered = numbered.join(before, "window_end", "left").withColumn("count", total).drop("_n")
+            counts = counts.unionByName(before).groupBy("window_end").agg(F.sum("count").alias("count"))
+        _store(_recent(counts, "window_end", horizon), f"{state_path}/state={batch_id}")
+        sink(numbered.select("window_end", "id", "first_seen", "count"), batch_id)
+        _forget(spark, state_path, batch_id)
 
     return step
+
+
+def _store(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _state_before(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
+    return spark.read.parquet(f"{state_path}/state={batch_id - 1}") if batch_id else None
+
+
+def _recent(df: DataFrame, window_end: str, horizon: int | str) -> DataFrame:
+    """Rows of windows that end at most ``horizon`` before the newest."""
+    newest = df.agg(F.max(window_end)).first()[0]
+    if newest is None:
+        return df
+    return df.filter(F.col(window_end) > F.lit(newest) - F.make_interval(secs=F.lit(seconds(horizon))))
+
+
+def _forget(spark: SparkSession, state_path: str, batch_id: int) -> None:
+    """Drop the tables two micro-batches back; the one before is needed if this one is repeated."""
+    for kind in ("rows", "state"):
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/{kind}={batch_id - 2}")
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
