@@ -1,8 +1,7 @@
-from __future__ import annotations
-
 import datetime as dt
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +63,16 @@ def test_any_aggregate_over_a_large_overlap(clicks):
     assert got == {k: (len(set(v)), max(v)) for k, v in expected.items()}
 
 
+def test_an_aggregate_of_ones_own(clicks):
+    @F.pandas_udf("double")
+    def spread(values: pd.Series) -> float:
+        return float(values.max() - values.min())
+
+    expected = by_hand([(r.second, r.key, r.value) for r in clicks.collect()], 60, 30)
+    result = windowed_agg(clicks, ["key"], "ts", 60, 30, spread=spread("value")).collect()
+    assert {(r.key, r.window_end): r.spread for r in result} == {k: max(v) - min(v) for k, v in expected.items()}
+
+
 def test_window_ends_match_the_builtin_window(clicks):
     ends = sliding_ends(clicks.select("second", "key", "ts"), "ts", 60, 10).select("second", "key", "window_end")
     builtin = clicks.select("second", "key", F.window("ts", "60 seconds", "10 seconds")["end"].alias("window_end"))

@@ -317,18 +317,20 @@ def tx_match(spark, sf_dir):
     return joins.reconcile(pays, receipts, "order_id", "pay_ts", "receipt_ts", "-3 days", "5 days")
 
 
+def _cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values as whole cents: their sums are exact in any order, so averages are repeatable."""
+    return behavior(spark, sf_dir).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+
+
 @query
 def avg_value(spark, sf_dir):
-    rows = behavior(spark, sf_dir)
-    hourly = windows.windowed_avg(rows, "value", [], "ts", "1 hour", average="avg_value")
-    return hourly.withColumn("avg_value", F.round("avg_value", 6))
+    return windows.windowed_avg(_cents(spark, sf_dir), "cents", [], "ts", "1 hour", average="avg_cents")
 
 
 @query
 def avg_value_sliding(spark, sf_dir):
-    rows = behavior(spark, sf_dir)
-    sliding = windows.windowed_avg(rows, "value", ["behavior"], "ts", "2 hours", "30 minutes", "avg_value")
-    return sliding.withColumn("avg_value", F.round("avg_value", 6))
+    rows = _cents(spark, sf_dir)
+    return windows.windowed_avg(rows, "cents", ["behavior"], "ts", "2 hours", "30 minutes", "avg_cents")
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 ITEM = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+CENTS = "CAST(round(value * 100) AS BIGINT)"
 SECOND = "(epoch_us(ts) // 1000000)"
 
 
@@ -249,13 +250,13 @@ ORACLE: dict[str, str] = {
                CASE WHEN r.order_id IS NULL THEN 'unmatched_pay' WHEN p.order_id IS NULL THEN 'unmatched_receipt'
                     ELSE 'matched' END AS output
         FROM {PAYS} p FULL JOIN {RECEIPTS} r ON {IN_RANGE}""",
-    "avg_value": _per_hour("SELECT ts, value FROM events", "round(avg(value), 6) AS avg_value"),
+    "avg_value": _per_hour(f"SELECT ts, {CENTS} AS cents FROM events", "avg(cents) AS avg_cents"),
     "avg_value_sliding": _sliding(
-        "SELECT ts, value, event_type AS behavior FROM events",
+        f"SELECT ts, {CENTS} AS cents, event_type AS behavior FROM events",
         "behavior",
         7200,
         1800,
-        "round(avg(value), 6) AS avg_value",
+        "avg(cents) AS avg_cents",
     ),
     "window_profile": _sliding(
         f"SELECT ts, value, event_type AS behavior, {ITEM} AS item_id FROM events",
