@@ -50,10 +50,13 @@ def test_sliding_counts_and_averages_by_hand(clicks, size, slide):
     assert len(counts) == len(expected)
     assert {(r.key, r.window_end): r["count"] for r in counts} == {k: len(v) for k, v in expected.items()}
     assert all(r.window_end - r.window_start == dt.timedelta(seconds=size) for r in counts)
-    averages = windowed_avg(clicks, "value", ["key"], "ts", size, slide).collect()
-    for r in averages:
-        values = expected[r.key, r.window_end]
-        assert r.average == pytest.approx(sum(values) / len(values))
+    whole = clicks.withColumn("value", F.col("value").cast("int"))
+    for rows in (clicks, whole):
+        averages = windowed_avg(rows, "value", ["key"], "ts", size, slide).collect()
+        assert len(averages) == len(expected)
+        for r in averages:
+            values = expected[r.key, r.window_end]
+            assert r.average == pytest.approx(sum(values) / len(values))
 
 
 def test_any_aggregate_over_a_large_overlap(clicks):
@@ -82,8 +85,9 @@ def test_window_ends_match_the_builtin_window(clicks):
 def test_null_values_do_not_enter_an_average(spark):
     rows = [(0, 4.0), (1, None), (2, 8.0), (70, None)]
     df = spark.createDataFrame(rows, "second BIGINT, value DOUBLE").withColumn("ts", F.timestamp_seconds("second"))
-    for slide in (None, 30):
-        got = {r.window_end: r.average for r in windowed_avg(df, "value", [], "ts", 60, slide).collect()}
+    whole = df.withColumn("value", F.col("value").cast("bigint"))
+    for rows, slide in ((df, None), (df, 30), (whole, None), (whole, 30)):
+        got = {r.window_end: r.average for r in windowed_avg(rows, "value", [], "ts", 60, slide).collect()}
         assert got[at(60)] == 6.0 and got[at(120)] is None
 
 

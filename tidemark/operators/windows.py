@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from math import gcd
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.time import aligned, seconds, start_range, steps, window_ends
 
@@ -17,6 +18,9 @@ from ..functions.time import aligned, seconds, start_range, steps, window_ends
 # generated method; far above this overlap that method no longer compiles.
 MAX_BUILTIN_OVERLAP = 12
 
+# Types whose sums can be taken back by subtraction without an error.
+EXACT_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+
 WATERMARK_METADATA = "spark.watermarkDelayMs"
 
 
@@ -67,16 +71,20 @@ def windowed_agg(
 
 
 def _sliding_sums(
-    df: DataFrame, keys: Sequence[str], ts: str, size_s: int, slide_s: int, parts: Mapping[str, Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    size_s: int,
+    slide_s: int,
+    parts: Mapping[str, Column],
+    present: str,
 ) -> DataFrame:
     """Sums over overlapping windows, built from non-overlapping panes.
 
     Rows are first reduced to one cell per key and pane, so what is shuffled does not grow with
     the overlap. Cells are then placed by key and block of window starts; a cell reaches at most
-    two blocks. Expanding a cell to its windows happens inside the block, so the expanded rows
-    are summed where they arise and never travel. A busy key is spread over its blocks, and a
-    block holds a fixed number of panes whatever the number of raw rows. The partition count is
-    given, because merging partitions that are small before the expansion would undo the spread.
+    two blocks. A busy key is spread over its blocks, and a block holds a fixed number of panes
+    whatever the number of raw rows. ``present`` names the part that counts rows.
     """
     keys = list(keys)
     second, pane_s = F.unix_seconds(ts), gcd(size_s, slide_s)
@@ -85,37 +93,65 @@ def _sliding_sums(
     )
     block_s = slide_s * -(-4 * size_s // slide_s)
     first, last = start_range(F.col("_pane"), size_s, slide_s)
-    lowest = F.col("_block")
+    blocks = F.explode(steps(aligned(first, block_s), aligned(last, block_s), block_s))
+    # The partition count is given, because merging partitions that are small before the windows
+    # are written out would undo the spread.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        cells.select(
-            *keys,
-            *parts,
-            first.alias("_first"),
-            last.alias("_last"),
-            F.explode(steps(aligned(first, block_s), aligned(last, block_s), block_s)).alias("_block"),
-        )
+    block = F.col("_block")
+    placed = (
+        cells.select(*keys, *parts, first.alias("_first"), last.alias("_last"), blocks.alias("_block"))
         .repartition(partitions, *keys, "_block")
         .select(
             *keys,
             *parts,
             "_block",
-            F.explode(
-                steps(
-                    F.greatest("_first", lowest),
-                    F.least(F.col("_last"), lowest + (block_s - slide_s)),
-                    slide_s,
-                )
-            ).alias("_start"),
+            F.greatest("_first", block).alias("_from"),
+            F.least(F.col("_last") + slide_s, block + block_s).alias("_until"),
         )
+    )
+    exact = all(isinstance(placed.schema[p].dataType, EXACT_TYPES) for p in parts)
+    summed = (_by_changes if exact else _by_expansion)(placed, keys, slide_s, list(parts), present)
+    return summed.select(
+        *keys,
+        F.timestamp_seconds("_start").alias("window_start"),
+        F.timestamp_seconds(F.col("_start") + size_s).alias("window_end"),
+        *parts,
+    )
+
+
+def _by_changes(placed: DataFrame, keys: list[str], slide_s: int, parts: list[str], present: str) -> DataFrame:
+    """A cell adds to the sums at its first window start and takes the same away after its last.
+
+    The running total of these changes is the sum of every window up to the next change, so the
+    work grows with cells and results, not with cells times overlap. Needs exact arithmetic.
+    """
+    up = F.struct(F.col("_from").alias("at"), *[F.col(p).alias(p) for p in parts])
+    down = F.struct(F.col("_until").alias("at"), *[(-F.col(p)).alias(p) for p in parts])
+    changes = (
+        placed.select(*keys, "_block", F.explode(F.array(up, down)).alias("_change"))
+        .groupBy(*keys, "_block", F.col("_change.at").alias("_at"))
+        .agg(*[F.sum(f"_change.{p}").alias(p) for p in parts])
+    )
+    in_order = Window.partitionBy(*keys, "_block").orderBy("_at")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = changes.select(
+        *keys,
+        "_at",
+        F.lead("_at").over(in_order).alias("_next"),
+        *[F.sum(p).over(upto).alias(p) for p in parts],
+    ).filter(F.col(present) > 0)
+    return totals.select(
+        *keys, *parts, F.explode(steps(F.col("_at"), F.col("_next") - slide_s, slide_s)).alias("_start")
+    )
+
+
+def _by_expansion(placed: DataFrame, keys: list[str], slide_s: int, parts: list[str], present: str) -> DataFrame:
+    """Every cell once per window, summed inside the block where the copies arise."""
+    starts = F.explode(steps(F.col("_from"), F.col("_until") - slide_s, slide_s)).alias("_start")
+    return (
+        placed.select(*keys, *parts, "_block", starts)
         .groupBy(*keys, "_block", "_start")
-        .agg(*[F.sum(name).alias(name) for name in parts])
-        .select(
-            *keys,
-            F.timestamp_seconds("_start").alias("window_start"),
-            F.timestamp_seconds(F.col("_start") + size_s).alias("window_end"),
-            *parts,
-        )
+        .agg(*[F.sum(p).alias(p) for p in parts])
     )
 
 
@@ -132,7 +168,7 @@ def windowed_count(
     slide_s = seconds(slide) if slide is not None else size_s
     if df.isStreaming or slide_s >= size_s:
         return windowed_agg(df.select(*keys, ts), keys, ts, size_s, slide_s, **{count: F.count(F.lit(1))})
-    return _sliding_sums(df, keys, ts, size_s, slide_s, {count: F.count(F.lit(1))})
+    return _sliding_sums(df, keys, ts, size_s, slide_s, {count: F.count(F.lit(1))}, present=count)
 
 
 def windowed_avg(
@@ -149,9 +185,15 @@ def windowed_avg(
     slide_s = seconds(slide) if slide is not None else size_s
     if df.isStreaming or slide_s >= size_s:
         return windowed_agg(df.select(*keys, ts, value), keys, ts, size_s, slide_s, **{average: F.avg(value)})
-    sums = _sliding_sums(
-        df, keys, ts, size_s, slide_s, {"_sum": F.sum(F.col(value).cast("double")), "_n": F.count(value)}
-    )
+    number = F.col(value)
+    if not isinstance(df.schema[value].dataType, EXACT_TYPES):
+        number = number.cast("double")
+    parts = {
+        "_sum": F.coalesce(F.sum(number), F.lit(0)),
+        "_n": F.count(value),
+        "_rows": F.count(F.lit(1)),
+    }
+    sums = _sliding_sums(df, keys, ts, size_s, slide_s, parts, present="_rows")
     mean = F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias(average)
     return sums.select(*keys, "window_start", "window_end", mean)
 
