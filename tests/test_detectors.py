@@ -18,6 +18,7 @@ from tidemark.operators import (
     order_pay_status,
     running_count_per_day,
     running_unique_count,
+    top_n,
 )
 from tidemark.plans import jobs
 
@@ -111,6 +112,16 @@ def test_cap_beyond_the_group_limit_gives_the_same(spark, skewed):
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
+def test_ranking_beyond_the_group_limit_gives_the_same(spark, skewed):
+    rows = skewed.select("user", (F.col("seq") % 50).alias("metric"), "seq")
+    small = top_n(rows, "user", "metric", "seq", 40)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        assert lines(top_n(rows, "user", "metric", "seq", 40, hot_rows=FEW)) == lines(small)
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
 LOGINS = [
     (0, 1, "fail", 100),
     (1, 1, "fail", 101),

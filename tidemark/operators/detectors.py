@@ -20,10 +20,7 @@ from ..functions.text import (
     over_limit_message,
 )
 from ..functions.time import gap_seconds, seconds, utc_day
-from .ordered import HOT_ROWS, OrderedGroups
-
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-
+from .ordered import HOT_ROWS, OrderedGroups, rank_limit
 
 def _as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -64,8 +61,7 @@ def cap_per_key_per_day(
 
         counted = daily_cap(df, keys, ts, limit, list(order_by) or [ts])
     else:
-        group_limit = int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000"))
-        if limit < group_limit:
+        if limit < rank_limit(df.sparkSession):
             # Asking for a bounded rank lets Spark cut every group before the shuffle.
             order = Window.partitionBy(*keys, utc_day(ts)).orderBy(*(list(order_by) or [ts]))
             counted = df.withColumn("_n", F.row_number().over(order))

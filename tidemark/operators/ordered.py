@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import enable_checkpoints
@@ -29,6 +29,11 @@ PIECE = "_piece"
 ORDINARY = -1
 
 
+def rank_limit(spark: SparkSession) -> int:
+    """Ranks below this let Spark cut every group to them before the shuffle."""
+    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, sizes: DataFrame | None = None) -> list:
     """Keys and row counts of the groups above ``hot_rows``, at most MAX_HOT_GROUPS of them."""
     if sizes is None:
