@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.hashing import bitmap_position
-from ..functions.text import ITEM_REPORT, PAID, TIMED_OUT, URL_REPORT
+from ..functions.text import PAID, TIMED_OUT
 from ..functions.time import next_utc_midnight, reject_future
 from ..operators import detectors, distinct, joins, patterns, ranking, windows
 from ..sources import parsing
