@@ -78,15 +78,15 @@ def _compare_in_order(floor: float):
 
 
 def _local_join(floor: float):
-    """All pairs among the neighbours of one vector, in chunks of bounded size."""
+    """Pairs from different components among the neighbours of one vector, in chunks of bounded size."""
 
     def run(pdf):
         found = [pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "sim": pd.Series(dtype="float64")})]
         for begin in range(0, len(pdf), 256):
             part = pdf.iloc[begin : begin + 256]
             unit, rep = _units(part["vec"]), part["u"].to_numpy()
-            sim = unit @ unit.T
-            i, j = np.nonzero(np.triu(sim >= floor, 1))
+            sim, component = unit @ unit.T, part["component"].to_numpy()
+            i, j = np.nonzero(np.triu((sim >= floor) & (component[:, None] != component), 1))
             found.append(_pairs(rep[i], rep[j], sim[i, j]))
         return pd.concat(found, ignore_index=True)
 
@@ -175,8 +175,8 @@ def near_duplicate_vectors(
     2. ``tables`` seeding tables put vectors into buckets by the signs of random projections; inside a bucket each is
        compared with its neighbours along one more projection. Bucket width follows the number of classes. A range
        partitioning splits full buckets.
-    3. Descent: all pairs among the neighbours of a vector are compared, until no new link turns up. Edges wider than
-       twice the threshold's angle are not followed.
+    3. Descent: among the neighbours of a vector, pairs from different components are compared, round after round,
+       until none of them is a link. Edges wider than twice the threshold's angle are not followed.
     4. Lists are saturated when the k-th neighbour is still a link; the lists of such vectors, and of all others that
        have a link, are enlarged to their whole component: its vectors are compared block by block in double
        precision, and only counts leave a task.
@@ -206,16 +206,17 @@ def near_duplicate_vectors(
         ordered = seeds.repartitionByRange("bucket", "place").sortWithinPartitions("bucket", "place")
         pairs = ordered.mapInPandas(_compare_in_order(floor), "a long, b long, sim double")
         known = materialise(_distinct(pairs if known is None else known.union(pairs)), "graph")
-        links = known.where(F.col("sim") >= threshold).count()
         while True:
+            labels = materialise(connected_components(known.where(F.col("sim") >= threshold)), "labels")
             lists = _lists(known, k).select("v", "u")
             near = lists.union(lists.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct()
-            joined = near.join(vec_of, "u").groupBy("v").applyInPandas(_local_join(floor), "a long, b long, sim double")
-            known = materialise(_distinct(known.union(joined)), "graph")
-            before, links = links, known.where(F.col("sim") >= threshold).count()
-            if links == before:
+            near = near.join(vec_of, "u").join(labels.withColumnRenamed("node", "u"), "u", "left")
+            near = near.select("v", "u", "vec", F.coalesce("component", "u").alias("component"))
+            joined = near.groupBy("v").applyInPandas(_local_join(floor), "a long, b long, sim double")
+            joined = materialise(_distinct(joined), "descent")
+            known = known.union(joined)
+            if joined.where(F.col("sim") >= threshold).isEmpty():
                 break
-        labels = materialise(connected_components(known.where(F.col("sim") >= threshold)), "labels")
         if recall_of(classes, labels, threshold, audit) >= target:
             break
         first, tables = first + tables, 2 * tables
