@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .packing import pack
+from .pieces import encode_pieces
+from .repeats import remove_repeats
+from .rules import quality_rules
+from .shingles import ngram_jaccard
 from .vectors import near_duplicate_vectors
 
 
@@ -17,8 +24,42 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard(_table(spark, sf_dir, "documents"))
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(documents).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.drop("text", "cleaned")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op3_packing": op3_packing,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 LLM_ORACLE: dict[str, str] = {

@@ -181,15 +181,17 @@ def maximal_repeats(texts: list[bytes], groups: np.ndarray, keys: np.ndarray, lo
     """Maximal repeats of at least ``length`` bytes among texts of one group: arrays (begin, end) per occurrence.
 
     Yields (repeat length, text numbers, begins in the documents). Two texts may overlap in a document: a place counts
-    once. A repeat is maximal if its occurrences don't all have the same byte before them.
+    once, in the text that goes on longest. A repeat is maximal if its occurrences don't all have the same byte before
+    them.
     """
     suffixes = SuffixArray(texts)
     sizes = np.array([len(t) for t in texts], np.int64)
     begins = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(texts)), sizes)
-    at = np.flatnonzero(suffixes.end - np.arange(suffixes.n) >= length)
+    room = suffixes.end - np.arange(suffixes.n)
+    at = np.flatnonzero(room >= length)
     group, place = groups[owner[at]], lows[owner[at]] + at - begins[owner[at]]
-    order = np.lexsort((place, keys[owner[at]], group))
+    order = np.lexsort((-room[at], place, keys[owner[at]], group))
     at, group, place = at[order], group[order], place[order]
     same = (group[1:] == group[:-1]) & (place[1:] == place[:-1]) & (keys[owner[at]][1:] == keys[owner[at]][:-1])
     keep = np.concatenate([[True], ~same])[: len(at)]
