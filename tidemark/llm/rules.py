@@ -9,6 +9,8 @@ from .common import SPACE
 
 #: Characters of mark-up, tables and prices.
 SYMBOLS = "#*$%&|<>"
+#: ASCII white space.
+BLANKS = " \t\n\x0b\f\r"
 #: Words that make a short line a menu.
 NAVIGATION = "home menu login logout register search sitemap next previous prev back contact about share".split()
 #: Phrases of site furniture.
@@ -24,7 +26,7 @@ def _let(value: Column, then) -> Column:
 
 
 def word_array(text: Column) -> Column:
-    trimmed = F.regexp_replace(text, f"^{SPACE}|{SPACE}$", "")
+    trimmed = F.btrim(text, F.lit(BLANKS))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
@@ -49,49 +51,62 @@ def repeated_window_words(words: Column) -> Column:
     return _let(_let(F.array_sort(hashes), starts), covered)
 
 
-def line_passes(line: Column) -> Column:
-    """Punctuation, navigation and boilerplate rules for one line that holds a word."""
-    bare = F.regexp_replace(line, SPACE, "")
-    symbols = F.length(bare) - F.length(F.translate(bare, SYMBOLS, ""))
-    words = F.size(word_array(line))
-    low = F.lower(line)
-    punctuation = 10 * symbols <= F.length(bare)
-    ended = F.rlike(line, F.lit(r"""[.!?…:;。！？]["'”’»)\]]*\s*$""")) | (words >= 3)
-    menu = (words <= 6) & F.rlike(low, F.lit(r"^\W*(" + "|".join(NAVIGATION) + r")\b"))
-    rows = F.length(line) - F.length(F.translate(line, "|»›", "")) >= 3
-    boilerplate = (words <= 20) & F.rlike(low, F.lit(BOILERPLATE))
-    return punctuation & ended & ~menu & ~rows & ~boilerplate
+def count_symbols(text: Column) -> Column:
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]", ""))
+
 
+def line_passes(line: Column, words: Column, bare: Column, symbols: Column) -> Column:
+    """Punctuation, navigation and boilerplate rules for one line with ``words`` words of ``bare`` characters.
 
-def _has_word(line: Column) -> Column:
-    return F.translate(line, " \t\n\x0b\f\r", "") != ""
+    ``symbols`` is a bound on its symbols: where that is small enough, they are not counted again.
+    """
+    punctuation = (10 * symbols <= bare) | (10 * count_symbols(line) <= bare)
+    ended = (words >= 3) | F.rlike(line, F.lit(r"""[.!?…:;。！？]["'”’»)\]]*\s*$"""))
+    menu = (words <= 6) & F.rlike(F.lower(line), F.lit(r"^\W*(" + "|".join(NAVIGATION) + r")\b"))
+    rows = F.rlike(line, F.lit("[|»›].*[|»›].*[|»›]"))
+    boilerplate = (words <= 20) & F.rlike(F.lower(line), F.lit(BOILERPLATE))
+    return punctuation & ended & ~menu & ~rows & ~boilerplate
 
 
 def _verdict(text: Column, most_lost: float) -> Column:
-    def counted(words: Column, lines: Column, bare: Column) -> Column:
-        full = F.filter(lines, _has_word)
+    def of_line(line: Column) -> Column:
+        return _let(
+            word_array(line),
+            lambda words: F.struct(line.alias("line"), words.alias("words"), F.length(F.array_join(words, "")).alias("bare")),
+        )
+
+    def counted(lines: Column, symbols: Column) -> Column:
+        full = F.filter(lines, lambda x: x["bare"] > 0)
+        stay = F.filter(
+            lines, lambda x: (x["bare"] == 0) | line_passes(x["line"], F.size(x["words"]), x["bare"], symbols)
+        )
+        total = lambda x: F.aggregate(x["bare"], F.lit(0).cast("long"), lambda a, n: a + n)
         return F.struct(
-            F.size(words).cast("long").alias("n_words"),
-            bare.alias("word_chars"),
-            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-            _let(full, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            repeated_window_words(words).alias("n_repeat_words"),
-            F.array_join(F.filter(lines, lambda x: ~_has_word(x) | line_passes(x)), "\n").alias("cleaned"),
+            _let(F.flatten(lines["words"]), lambda words: F.struct(
+                F.size(words).cast("long").alias("n"), repeated_window_words(words).alias("repeated")
+            )).alias("words"),
+            total(lines).alias("word_chars"),
+            symbols.cast("long").alias("n_symbols"),
+            _let(full["line"], lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            _let(stay, lambda x: F.struct(
+                F.array_join(x["line"], "\n").alias("cleaned"), total(x).alias("left")
+            )).alias("stay"),
         )
 
     def judged(c: Column) -> Column:
-        failed = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
-        left = F.length(F.regexp_replace(c["cleaned"], SPACE, ""))
-        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+        n, repeated = c["words"]["n"], c["words"]["repeated"]
+        failed = (n < 50) | (100 * repeated > 50 * n)
         return F.struct(
-            *[c[x].alias(x) for x in names],
+            n.alias("n_words"),
+            *[c[x].alias(x) for x in ("word_chars", "n_symbols", "n_dup_lines")],
+            repeated.alias("n_repeat_words"),
             failed.alias("base_failed"),
-            c["cleaned"].alias("cleaned"),
-            (~failed & (left >= (1 - most_lost) * c["word_chars"])).alias("kept"),
+            c["stay"]["cleaned"].alias("cleaned"),
+            (~failed & (c["stay"]["left"] >= (1 - most_lost) * c["word_chars"])).alias("kept"),
         )
 
-    bare = F.length(F.regexp_replace(text, SPACE, "")).cast("long")
-    counts = _let(word_array(text), lambda words: _let(F.split(text, "\n", -1), lambda lines: counted(words, lines, bare)))
+    lines = F.transform(F.split(text, "\n", -1), of_line)
+    counts = _let(lines, lambda x: _let(count_symbols(text), lambda symbols: counted(x, symbols)))
     return _let(counts, judged)
 
 
