@@ -8,8 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .archive import archive_folder, read_archive, write_archive
+from .chat import format_chat
+from .licences import scan_licences
 from .packing import pack
 from .pieces import encode_pieces
+from .quality import fit_quality, held_out
 from .repeats import remove_repeats
 from .rules import quality_rules
 from .shingles import ngram_jaccard
@@ -24,11 +28,32 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(documents, _table(spark, sf_dir, "labels"))
+    scored = model.score(documents, keep_text=False)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chat(_table(spark, sf_dir, "conversations"))
+
+
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(_table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = archive_folder(spark)
+    write_archive(_table(spark, sf_dir, "pages"), folder)
+    return read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(_table(spark, sf_dir, "documents"))
 
@@ -55,7 +80,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_packing": op3_packing,
+    "op4_chat_format": op4_chat_format,
+    "op5_licence_scan": op5_licence_scan,
+    "op6_warc": op6_warc,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_sentencepiece": op9_sentencepiece,
