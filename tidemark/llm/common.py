@@ -15,12 +15,20 @@ from tidemark.session import shared_dir
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def new_path(df: DataFrame, name: str) -> str:
+    return f"{shared_dir(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = path or new_path(df, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame, path: str) -> None:
+    """Give up the rows of a table in the shared folder that is not read again: an empty one takes its place."""
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Bounded, materialise, slices
+from .common import Bounded, materialise, new_path, release, slices
 from .components import connected_components
 
 #: Subsets of SUB second-level partitions that leave out DROP of them are enumerated in every first-level partition.
@@ -99,7 +99,11 @@ def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, int]:
     return np.concatenate(out).view(np.int64), need
 
 
-FEATURES = [("doc_id", pa.int64()), ("size", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("need", pa.int64())]
+FEATURES = [("doc_id", pa.int64()), ("size", pa.int64()), ("node", pa.int64()), ("need", pa.int64())]
+
+
+def _digest(shingles: np.ndarray) -> int:
+    return int(_mix(shingles + np.uint64(3)).sum(dtype=np.uint64).view(np.int64)) if len(shingles) else 0
 
 
 def _sign(words: int, percent: int, schema: pa.Schema):
@@ -113,14 +117,11 @@ def _sign(words: int, percent: int, schema: pa.Schema):
                 found = []
                 for doc, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
                     shingles = shingle_set(text, hashes, words)
-                    mixed = _mix(shingles)
-                    h1 = int(mixed.sum(dtype=np.uint64).view(np.int64)) if len(shingles) else 0
-                    h2 = int(np.bitwise_xor.reduce(_mix(mixed)).view(np.int64)) if len(shingles) else 0
-                    need, own = 0, np.empty(0, np.int64)
-                    if len(shingles) and doc is not None and not seen[h1, h2]:
-                        seen[h1, h2].append(doc)
+                    node, need, own = _digest(shingles), 0, np.empty(0, np.int64)
+                    if len(shingles) and doc is not None and not seen[node]:
+                        seen[node].append(doc)
                         own, need = signatures(shingles, bands)
-                    for column, value in zip(rows, (doc, len(shingles), h1, h2, need), strict=True):
+                    for column, value in zip(rows, (doc, len(shingles), node, need), strict=True):
                         column.append(value)
                     found.append(own)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in found])])
@@ -137,8 +138,9 @@ def _sets(words: int, schema: pa.Schema):
         hashes = word_hasher()
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [shingle_set(text, hashes, words).tobytes() for text in part["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, pa.binary())], schema=schema)
+                found = [shingle_set(text, hashes, words) for text in part["text"].to_pylist()]
+                nodes = pa.array([_digest(x) for x in found], pa.int64())
+                yield pa.RecordBatch.from_arrays([nodes, pa.array([x.tobytes() for x in found], pa.binary())], schema=schema)
 
     return run
 
@@ -165,9 +167,9 @@ def ngram_jaccard(
 ) -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id`` (smallest id reachable over pairs with Jaccard >= percent / 100).
 
-    1. One pass over the texts gives every set's size and 128-bit digest, and PartEnum signatures for one document per
-       digest and task. Equal sets meet by digest.
-    2. Signatures that occur once go; so do documents with fewer shared signatures than any similar set would share
+    1. One pass over the texts gives every set's size and 64-bit digest, and its PartEnum signatures once per digest
+       and task. Documents with equal digests are one class; all that follows works on classes.
+    2. Signatures of one class only go; so do classes with fewer shared signatures than any similar set would share
        with them (a bound that follows from the number of non-empty partitions, so nothing similar is lost).
     3. In every signature's group each member is paired with one leader; repeated pairs are removed, and the rest is
        verified on the whole sets. Groups that are one component by then are done. Others get other leaders, and in the
@@ -179,71 +181,76 @@ def ngram_jaccard(
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     arrow = pa.schema([*FEATURES, ("sigs", pa.list_(pa.int64()))])
-    plain = "doc_id long, size long, h1 long, h2 long, need long"
-    signed = materialise(rows.mapInArrow(_sign(words, percent, arrow), f"{plain}, sigs array<long>"), "signed")
-    docs = signed.select("doc_id", "size", "h1", "h2", "need")
-
-    sigs = signed.where("need > 0").select("doc_id", F.explode("sigs").alias("sig"))
-    shared = sigs.withColumn("m", F.count("*").over(Window.partitionBy("sig"))).where("m > 1").select("sig", "doc_id")
-    shared = materialise(shared, "shared")
-    enough = shared.groupBy("doc_id").agg(F.count("*").alias("got"))
-    enough = enough.join(docs.where("need > 0").groupBy("doc_id").agg(F.min("need").alias("need"), F.max("size").alias("size")), "doc_id")
-    enough = materialise(enough.where("got >= need").select("doc_id", "size"), "enough")
-    shared = shared.join(enough, "doc_id")
-    sets = rows.join(enough.select("doc_id"), "doc_id", "left_semi")
-    sets = sets.mapInArrow(_sets(words, pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])), "doc_id long, shingles binary")
+    plain = "doc_id long, size long, node long, need long"
+    signed = rows.mapInArrow(_sign(words, percent, arrow), f"{plain}, sigs array<long>")
+    path = new_path(df, "signed")
+    signed = materialise(signed, "signed", path)
+    docs = materialise(signed.select("doc_id", "size", "node", "need"), "sizes")
+
+    group = Window.partitionBy("sig")
+    sigs = signed.where("need > 0").select("node", F.explode("sigs").alias("sig"))
+    shared = sigs.withColumn("low", F.min("node").over(group)).withColumn("high", F.max("node").over(group))
+    shared = materialise(shared.where("low <> high").select("sig", "node").distinct(), "shared")
+    release(signed, path)
+
+    classes = docs.where("size > 0 AND doc_id IS NOT NULL").groupBy("node")
+    classes = classes.agg(F.min("doc_id").alias("rep"), F.max("size").alias("size"), F.max("need").alias("need"))
+    enough = shared.groupBy("node").agg(F.count("*").alias("got")).join(classes, "node").where("got >= need")
+    enough = materialise(enough.select("node", "rep", "size"), "enough")
+    asked = materialise(enough.select(F.col("rep").alias("doc_id")), "asked")
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+    sets = rows.join(asked, "doc_id", "left_semi").mapInArrow(_sets(words, schema), "node long, shingles binary")
     sets = materialise(sets, "sets")
 
     near = F.expr(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
     pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-        joined = joined.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
-        return joined.select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent, pair), "a long, b long")
-
-    def labelled(edges: DataFrame) -> DataFrame:
-        return materialise(connected_components(edges), "labels")
-
-    equal = docs.where("size > 0").groupBy("size", "h1", "h2").agg(F.min("doc_id").alias("a"))
-    equal = docs.join(equal, ["size", "h1", "h2"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
-    edges = materialise(equal, "links")
-    labels, tried = labelled(edges), None
+        joined = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+        joined = joined.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
+        found = joined.select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent, pair), "a long, b long")
+        return found.distinct()
+
+    # The members of groups that are not yet one component, as of the last turn.
+    member = shared.join(enough, "node").withColumn("component", F.col("node"))
+    edges, labels, tried = None, None, None
     for turn in range(4):
-        member = shared.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-        member = member.withColumn("component", F.coalesce("component", "doc_id"))
-        mixed = Window.partitionBy("sig")
-        member = member.withColumn("low", F.min("component").over(mixed)).withColumn("high", F.max("component").over(mixed))
-        member = member.where("low <> high")
+        if labels is not None:
+            known = labels.select("node", F.col("component").alias("now"))
+            member = member.join(known, "node", "left").withColumn("component", F.coalesce("now", "component")).drop("now")
+        member = member.withColumn("low", F.min("component").over(group)).withColumn("high", F.max("component").over(group))
+        member = materialise(member.where("low <> high").select("sig", "node", "size", "component"), "open")
         if turn < 3:
-            order = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
-            lead = F.first(F.struct("doc_id", "size", "component")).over(mixed.orderBy(order, "doc_id"))
-            pairs = member.withColumn("lead", lead).where("lead.component <> component").select(
-                "doc_id", "size", F.col("lead.doc_id").alias("other"), F.col("lead.size").alias("other_size")
-            )
+            order = F.xxhash64("node", F.lit(turn))
+            lead = F.first(F.struct("node", "size", "component")).over(group.orderBy(order, "node"))
+            pairs = member.withColumn("lead", lead).where("lead.component <> component")
+            pairs = pairs.select("node", "size", F.col("lead.node").alias("other"), F.col("lead.size").alias("other_size"))
         else:
-            other = member.select("sig", *(F.col(c).alias(f"other_{c}") for c in ("doc_id", "size", "component")))
-            pairs = member.join(other, "sig").where("component < other_component").select(
-                "doc_id", "size", F.col("other_doc_id").alias("other"), "other_size"
-            )
+            other = member.select("sig", *(F.col(c).alias(f"other_{c}") for c in ("node", "size", "component")))
+            pairs = member.join(other, "sig").where("component < other_component")
+            pairs = pairs.select("node", "size", F.col("other_node").alias("other"), "other_size")
         pairs = pairs.select(
-            F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"),
-            F.col("size").alias("size_a"), F.col("other_size").alias("size_b"),
+            F.least("node", "other").alias("a"),
+            F.greatest("node", "other").alias("b"),
+            F.col("size").alias("size_a"),
+            F.col("other_size").alias("size_b"),
         )
         pairs = pairs.where(near).select("a", "b").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn >= 2:
-                break
-            continue
         tried = pairs if tried is None else tried.union(pairs)
-        edges = edges.union(materialise(verified(pairs), "links"))
-        labels = labelled(edges)
-    out = docs.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        links = materialise(verified(pairs), "links")
+        edges = links if edges is None else edges.union(links)
+        labels = materialise(connected_components(edges), "labels")
+
+    reps = classes.select("node", "rep").join(labels, "node", "left")
+    reps = reps.select("node", "rep", F.coalesce("component", "node").alias("component"))
+    smallest = reps.groupBy("component").agg(F.min("rep").alias("smallest"))
+    names = materialise(reps.join(smallest, "component").select("node", "smallest"), "names")
+    out = docs.join(names, "node", "left")
     return out.select(
         F.col("doc_id").alias(id_col),
         F.col("size").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull() & (F.col("size") > 0), F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"),
     )
