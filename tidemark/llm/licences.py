@@ -73,7 +73,9 @@ def _examples(templates: DataFrame, lines: DataFrame) -> DataFrame:
     windows = templates.select(
         "family", F.explode(F.transform(F.sequence(F.lit(1), size - width + 1), lambda i: F.slice("words", i, width))).alias("words")
     )
-    known = templates.select("family", "words").union(windows)
+    # The last example, of a word that no text holds, stands for the unknown class on an empty corpus.
+    blank = templates.limit(1).select(F.lit(UNKNOWN).alias("family"), F.array(F.lit("")).alias("words"))
+    known = templates.select("family", "words").union(windows).union(blank)
     rest = lines.where(F.size("words") >= 2).select("line", "words").distinct()
     rest = rest.orderBy(F.xxhash64("line"), "line").limit(SAMPLE)
     like = templates.select(F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram")).distinct()
@@ -113,8 +115,6 @@ def train(lines: DataFrame) -> tuple[DataFrame, dict[str, float], float]:
     model = learner.fit(ready.where(~held | whole))
     logits = model.transform(ready.where(held)).select("rawPrediction", "family").collect()
     rows = [(r["rawPrediction"].toArray().tolist(), r["family"]) for r in logits]
-    order = [int(x) for x in range(len(families))]
-    rows = [([x[i] if i < len(x) else -30.0 for i in order], f) for x, f in rows]
     temperature = min((_softmax_loss(rows, families, t / 10), t / 10) for t in range(2, 31))[1] if rows else 1.0
     matrix, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     table = [(gram, [float(x) for x in matrix[:, i]]) for i, gram in enumerate(vocabulary.vocabulary)]
