@@ -133,14 +133,51 @@ def _sign(words: int, percent: int, schema: pa.Schema):
     return run
 
 
+def histogram(shingles: np.ndarray) -> bytes:
+    """Counts (255: that or more) over equal ranges of the hash domain, about four shingles to a range."""
+    bits = min(12, max(6, (len(shingles) // 4).bit_length()))
+    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def most_common(a: bytes, b: bytes) -> int:
+    """No two sets with these histograms have more shingles in common."""
+    x, y = (np.frombuffer(h, np.uint8).astype(np.int64) for h in (a, b))
+    x[x == 255], y[y == 255] = 1 << 40, 1 << 40
+    n = min(len(x), len(y))
+    return int(np.minimum(x.reshape(n, -1).sum(axis=1), y.reshape(n, -1).sum(axis=1)).sum())
+
+
 def _sets(words: int, schema: pa.Schema):
     def run(batches):
         hashes = word_hasher()
         for batch in batches:
             for part in slices(batch, "text"):
                 found = [shingle_set(text, hashes, words) for text in part["text"].to_pylist()]
-                nodes = pa.array([_digest(x) for x in found], pa.int64())
-                yield pa.RecordBatch.from_arrays([nodes, pa.array([x.tobytes() for x in found], pa.binary())], schema=schema)
+                columns = [
+                    pa.array([_digest(x) for x in found], pa.int64()),
+                    pa.array([len(x) for x in found], pa.int64()),
+                    pa.array([histogram(x) for x in found], pa.binary()),
+                    pa.array([x.tobytes() for x in found], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return run
+
+
+def _possible(percent: int, schema: pa.Schema):
+    """Pairs whose histograms leave room for enough common shingles."""
+
+    def run(batches):
+        for batch in batches:
+            columns = (batch[c].to_pylist() for c in ("hist_a", "hist_b", "size_a", "size_b"))
+            keep = []
+            for i, (x, y, m, n) in enumerate(zip(*columns, strict=True)):
+                common = min(most_common(x, y), m, n)
+                if 100 * common >= percent * (m + n - common):
+                    keep.append(i)
+            keep = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["a"].take(keep), batch["b"].take(keep)], schema=schema)
 
     return run
 
@@ -149,7 +186,7 @@ def _verify(percent: int, schema: pa.Schema):
     def run(batches):
         for batch in batches:
             keep = []
-            for i, (x, y) in enumerate(zip(batch["set_a"], batch["set_b"], strict=True)):
+            for i, (x, y) in enumerate(zip(batch["shingles_a"], batch["shingles_b"], strict=True)):
                 s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 s, t = (s, t) if len(s) <= len(t) else (t, s)
                 at = np.searchsorted(t, s)
@@ -171,8 +208,8 @@ def ngram_jaccard(
        and task. Documents with equal digests are one class; all that follows works on classes.
     2. Signatures of one class only go; so do classes with fewer shared signatures than any similar set would share
        with them (a bound that follows from the number of non-empty partitions, so nothing similar is lost).
-    3. In every signature's group each member is paired with one leader; repeated pairs are removed, and the rest is
-       verified on the whole sets. Groups that are one component by then are done. Others get other leaders, and in the
+    3. In every signature's group each member is paired with one leader; repeated pairs are removed, and so are those
+       whose hash histograms rule out enough common shingles; the rest is verified on the whole sets. Groups that are one component by then are done. Others get other leaders, and in the
        end the remaining pairs across components are verified too, so that no link is missed.
 
     Words are split at ASCII white space, A-Z is lower-cased. Texts with fewer words than a shingle are one shingle;
@@ -198,18 +235,25 @@ def ngram_jaccard(
     enough = shared.groupBy("node").agg(F.count("*").alias("got")).join(classes, "node").where("got >= need")
     enough = materialise(enough.select("node", "rep", "size"), "enough")
     asked = materialise(enough.select(F.col("rep").alias("doc_id")), "asked")
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
-    sets = rows.join(asked, "doc_id", "left_semi").mapInArrow(_sets(words, schema), "node long, shingles binary")
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("hist", pa.binary()), ("shingles", pa.binary())])
+    sets = rows.join(asked, "doc_id", "left_semi")
+    sets = sets.mapInArrow(_sets(words, schema), "node long, size long, hist binary, shingles binary")
     sets = materialise(sets, "sets")
 
     near = F.expr(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
     pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def beside(pairs: DataFrame, *names: str) -> DataFrame:
+        """Pairs with columns of both sets."""
+        for side in "ba":
+            own = sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in names])
+            pairs = pairs.join(own, side)
+        return pairs
+
     def verified(pairs: DataFrame) -> DataFrame:
-        joined = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
-        joined = joined.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-        found = joined.select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent, pair), "a long, b long")
-        return found.distinct()
+        possible = beside(pairs, "hist", "size").mapInArrow(_possible(percent, pair), "a long, b long").distinct()
+        possible = beside(materialise(possible, "possible"), "shingles")
+        return possible.mapInArrow(_verify(percent, pair), "a long, b long").distinct()
 
     # The members of groups that are not yet one component, as of the last turn.
     member = shared.join(enough, "node").withColumn("component", F.col("node"))
