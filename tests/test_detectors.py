@@ -4,12 +4,12 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from streams import lines
 
 from tidemark.functions.text import PAID, PAID_LATE, PAID_UNKNOWN, TIMED_OUT
 from tidemark.operators import (
-    OrderedGroups,
     Step,
     cap_per_key_per_day,
     fail_pairs,
@@ -22,9 +22,6 @@ from tidemark.operators import (
 )
 from tidemark.plans import jobs
 
-FEW = 20  # cut every group above this many rows
-
-
 def at(second):
     return dt.datetime.fromtimestamp(second, dt.timezone.utc).replace(tzinfo=None)
 
@@ -44,48 +41,79 @@ def skewed(spark):
     return frame(spark, rows, "seq BIGINT, user BIGINT, kind STRING, second BIGINT").cache()
 
 
-def both_ways(skewed, job):
-    plain, cut = job(skewed, 10**9), job(skewed, FEW)
-    assert lines(plain) == lines(cut)
-    assert plain.count() > 0
+@pytest.fixture(scope="module")
+def arrived(skewed):
+    """The same rows with their place in time as a number: in that order a group is one bin."""
+    return skewed.withColumn("place", F.row_number().over(Window.orderBy("ts", "seq"))).cache()
 
 
-def test_large_groups_are_cut_without_changing_anything(skewed):
-    order = ["ts", "seq"]
-    both_ways(skewed, lambda df, hot: running_count_per_day(df, "user", "ts", order, hot_rows=hot))
-    both_ways(skewed, lambda df, hot: fail_pairs(df, "user", "kind", "ts", 600, order, "a", hot_rows=hot))
-    both_ways(skewed, lambda df, hot: fail_runs(df, "user", "kind", "ts", 3000, 3, order, "a", hot_rows=hot))
-    both_ways(
-        skewed,
-        lambda df, hot: order_pay_status(df, "user", "kind", "ts", 900, ["seq"], "a", "b", hot_rows=hot),
-    )
-    both_ways(
-        skewed,
-        lambda df, hot: running_unique_count(df, "seq", "ts", "1 day", ["seq"], method="exact", hot_rows=hot),
-    )
+def both_ways(arrived, job):
+    bins, one = job(arrived, ["ts", "seq"]), job(arrived, ["place"])
+    assert lines(bins) == lines(one)
+    assert bins.count() > 0
 
 
-@pytest.mark.parametrize("contiguity", ["next", "followed_by"])
-def test_sequences_across_cuts(skewed, contiguity):
-    steps = [Step(k, F.col("kind") == k, contiguity) for k in "abc"]
-    both_ways(
-        skewed, lambda df, hot: match_sequence(df, "user", "ts", steps, "1 hour", ["seq"], hot_rows=hot)
-    )
+def test_bins_of_time_change_nothing(arrived):
+    both_ways(arrived, lambda df, order: running_count_per_day(df, "user", "ts", order))
+    both_ways(arrived, lambda df, order: fail_pairs(df, "user", "kind", "ts", 600, order, "a"))
+    for least in (1, 2, 3):
+        both_ways(arrived, lambda df, order: fail_runs(df, "user", "kind", "ts", 30_000, least, order, "a"))
+
 
+def runs_by_hand(rows, span, least):
+    found, length, first = [], 0, None
+    for when, failed in rows:
+        length, first = (length + 1, first if length else when) if failed else (0, None)
+        if failed and length == least and when - first < span:
+            found.append((first, when))
+    return found
 
-def test_cut_groups_look_both_ways(skewed):
-    def job(df, hot):
-        groups = OrderedGroups(df, ["user"], ["ts", "seq"], hot)
-        assert groups.cut == (hot == FEW)
-        return (
-            groups.with_previous("before", F.col("seq"))
-            .with_next("after", F.col("kind"))
-            .with_next_present("next_a", F.when(F.col("kind") == "a", F.col("seq")))
-            .with_running_sum("total", F.col("seq"))
-            .rows()
-        )
 
-    both_ways(skewed, job)
+def test_runs_over_many_bins(spark):
+    rng = random.Random(2)
+    rows, expected = [], []
+    for user in (1, 2, 3, None):
+        times = sorted(rng.sample(range(200_000), 120))
+        events = [(t, rng.random() < (0.97 if user == 1 else 0.7)) for t in times]
+        rows += [(user, t, "fail" if f else None) for t, f in events]
+        expected += [(user, at(a), at(b)) for a, b in runs_by_hand(events, 40_000, 6)]
+    df = frame(spark, rows, "user BIGINT, second BIGINT, status STRING")
+    found = fail_runs(df, "user", "status", "ts", 40_000, 6).collect()
+    assert sorted(((r.user, r.first_fail, r.last_fail) for r in found), key=str) == sorted(expected, key=str)
+    assert expected
+
+
+def test_running_distinct_over_bins(arrived):
+    counted = running_unique_count(arrived, "seq", "ts", "1 day", ["seq"]).collect()
+    by_window = {}
+    for r in sorted(counted, key=lambda r: (r.window_end, r.first_seen, r.id)):
+        by_window.setdefault(r.window_end, []).append(r["count"])
+    assert all(counts == list(range(1, len(counts) + 1)) for counts in by_window.values())
+
+
+def test_plans_stay_small_and_building_them_runs_nothing(spark, skewed):
+    leaves = lambda df: df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    sizes = [leaves(fail_runs(skewed, "user", "kind", "ts", 3000, k, fail="a")) for k in (2, 8)]
+    steps = [Step(f"s{i}", F.col("kind") == "abcd"[i % 4]) for i in range(5)]
+    sequences = [leaves(match_sequence(skewed, "user", "ts", steps[:n], "1 hour")) for n in (2, 5)]
+    assert sizes[0] == sizes[1] and sequences == [1, 1]
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
+
+
+def test_ranks_of_any_type_and_number(spark):
+    low, nan = -(2**63), float("nan")
+    cases = [
+        ("metric DOUBLE", [5.0, 7.0, nan, None], [nan, 7.0, 5.0, None]),
+        ("metric STRING", ["a", "c", None, "b"], ["c", "b", "a", None]),
+        ("metric BIGINT", [low, 3, None, 2**63 - 1], [2**63 - 1, 3, low, None]),
+        ("metric TIMESTAMP", [at(5), at(9), None, at(7)], [at(9), at(7), at(5), None]),
+    ]
+    for column, values, expected in cases:
+        df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], f"k INT, tie INT, {column}")
+        for n in (2, 4, 1000, 100_000):
+            ranked = sorted(top_n(df, "k", "metric", "tie", n).collect(), key=lambda r: r["rank"])
+            assert str([r.metric for r in ranked]) == str(expected[:n])
 
 
 def test_daily_cap_keeps_the_first_rows_and_warns_once(spark):
@@ -101,27 +129,6 @@ def test_daily_cap_keeps_the_first_rows_and_warns_once(spark):
     assert custom.first().message == "too many"
 
 
-def test_cap_beyond_the_group_limit_gives_the_same(spark, skewed):
-    small = cap_per_key_per_day(skewed, "user", "ts", 50, ["ts", "seq"])
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
-    try:
-        large = cap_per_key_per_day(skewed, "user", "ts", 50, ["ts", "seq"], hot_rows=FEW)
-        assert lines(large[0]) == lines(small[0])
-        assert lines(large[1]) == lines(small[1])
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-
-
-def test_ranking_beyond_the_group_limit_gives_the_same(spark, skewed):
-    rows = skewed.select("user", (F.col("seq") % 50).alias("metric"), "seq")
-    small = top_n(rows, "user", "metric", "seq", 40)
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
-    try:
-        assert lines(top_n(rows, "user", "metric", "seq", 40, hot_rows=FEW)) == lines(small)
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-
-
 LOGINS = [
     (0, 1, "fail", 100),
     (1, 1, "fail", 101),
@@ -193,6 +200,16 @@ def test_order_outcomes(spark):
     ]
 
 
+def test_orders_are_given_up_in_the_end(spark):
+    rows = [(0, 1, "create", 0), (1, 1, "pay", 900 + 86_400), (2, 2, "create", 0), (3, 2, "pay", 899 + 86_400)]
+    rows += [(4, 3, "create", 0), (5, 3, "create", 100_000), (6, 3, "pay", 100_001)]
+    df = frame(spark, rows, "seq BIGINT, order_id BIGINT, event_type STRING, second BIGINT")
+    got = order_pay_status(df, "order_id", "event_type", "ts", order_by=["seq"]).collect()
+    assert sorted((r.order_id, r.result) for r in got) == sorted(
+        [(1, TIMED_OUT), (1, PAID_UNKNOWN), (2, PAID_LATE), (3, TIMED_OUT), (3, PAID)]
+    )
+
+
 def test_order_sequences(spark):
     df = frame(spark, ORDERS, "seq BIGINT, order_id BIGINT, event_type STRING, tx_id STRING, second BIGINT")
     got = jobs.order_timeouts(df, order_by=["seq"]).collect()

@@ -102,7 +102,7 @@ def test_late_rows_correct_counts_already_given(events):
 def test_running_top_n_ends_at_the_final_ranking(events):
     out, state = tempfile.mkdtemp(prefix="tidemark-out-"), tempfile.mkdtemp(prefix="tidemark-state-")
     counts = lambda df: windowed_count(df, ["item_id"], "ts", "1 hour", "10 minutes")
-    step = running_top_n(parquet_sink(out), state, "count", "item_id", 3, "2 hours")
+    step = running_top_n(parquet_sink(out), state, "count", "item_id", 3)
     drain_into(counts(as_stream(events, **DISORDER)), step, "update")
     given = events.sparkSession.read.parquet(out)
     newest = given.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
@@ -112,6 +112,48 @@ def test_running_top_n_ends_at_the_final_ranking(events):
     assert given.count() > final.count()
 
 
+def _minutes(spark, rows, columns):
+    """Rows with their time in minutes; one file, and so one micro-batch, per list."""
+    for batch in rows:
+        df = spark.createDataFrame(batch, columns)
+        yield df.withColumn("ts", F.timestamp_seconds(F.lit(T0 // 3600 * 3600) + F.col("minute") * 60)).drop("minute")
+
+
+def _run(spark, parts, job, step, mode):
+    folder, checkpoint = tempfile.mkdtemp(prefix="tidemark-in-"), tempfile.mkdtemp(prefix="tidemark-cp-")
+    parts = list(parts)
+    for number, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(parts[0].schema).parquet(folder).withWatermark("ts", "3 hours")
+        writer = job(stream).writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(step)
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def test_late_rows_meet_the_ranking_of_their_window(spark):
+    """A row far ahead must not make a window forget its ranks while the watermark lets rows in."""
+    out, state = tempfile.mkdtemp(prefix="tidemark-out-"), tempfile.mkdtemp(prefix="tidemark-state-")
+    batches = [[(5, 1)] * 5 + [(6, 2)] * 4, [(130, 9)], [(7, 3)]]
+    job = lambda df: windowed_count(df, ["item_id"], "ts", "1 hour")
+    step = running_top_n(parquet_sink(out), state, "count", "item_id", 2)
+    _run(spark, _minutes(spark, batches, "minute INT, item_id BIGINT"), job, step, "update")
+    first = F.timestamp_seconds(F.lit(T0 // 3600 * 3600 + 3600))
+    given = spark.read.parquet(out).filter(F.col("window_end") == first)
+    newest = given.agg(F.max("batch_id")).first()[0]
+    assert newest >= 2
+    last = given.filter(F.col("batch_id") == newest)
+    assert [(r["rank"], r["item_id"], r["count"]) for r in last.orderBy("rank").collect()] == [(1, 1, 5), (2, 2, 4)]
+
+
+def test_late_ids_go_on_with_the_numbers_of_their_window(spark):
+    out, state = tempfile.mkdtemp(prefix="tidemark-out-"), tempfile.mkdtemp(prefix="tidemark-state-")
+    batches = [[(5, 1), (6, 2), (7, 1)], [(130, 9)], [(8, 3), (9, 2)]]
+    job = lambda df: first_sights(df, "user_id", "ts", "1 hour", "exact")
+    _run(spark, _minutes(spark, batches, "minute INT, user_id BIGINT"), job, running_unique_sink(parquet_sink(out), state), "append")
+    first = F.timestamp_seconds(F.lit(T0 // 3600 * 3600 + 3600))
+    given = spark.read.parquet(out).filter(F.col("window_end") == first)
+    assert sorted((r["count"], r["id"]) for r in given.collect()) == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_daily_cap_and_its_counts(events):
     rows = events.select("event_id", "ts", "user_id")
     cap = lambda df: cap_per_key_per_day(df, "user_id", "ts", 20, ["ts", "event_id"])
@@ -145,7 +187,7 @@ def test_fail_runs(events):
 
 def test_order_pay_status(events):
     status = lambda df: order_pay_status(
-        df, "user_id", "kind", "ts", "15 minutes", ["event_id"], "click", "purchase", keep_expired="3 days"
+        df, "user_id", "kind", "ts", "15 minutes", ["event_id"], "click", "purchase"
     )
     stream = as_stream(events, kind="click", **DISORDER)
     assert lines(drain(status(stream))) == lines(status(events))
@@ -210,7 +252,7 @@ def test_any_aggregate(events):
 def test_distinct_ids_are_numbered_as_they_come(events):
     out, state = tempfile.mkdtemp(prefix="tidemark-out-"), tempfile.mkdtemp(prefix="tidemark-state-")
     sights = first_sights(as_stream(events, **DISORDER), "user_id", "ts", "30 minutes", "exact")
-    drain_into(sights, running_unique_sink(parquet_sink(out), state, "2 hours"), "append")
+    drain_into(sights, running_unique_sink(parquet_sink(out), state), "append")
     given = before_end(events.sparkSession.read.parquet(out), "window_end")
     windows = given.groupBy("window_end").agg(
         F.max("count").alias("count"), F.count_distinct("count").alias("steps"), F.count_distinct("id").alias("ids")

@@ -145,16 +145,16 @@ def test_durations_and_times(spark):
     with pytest.raises(ValueError):
         seconds("soon")
     row = spark.range(1).select(
-        event_time(F.lit(1511658000)).alias("s"),
-        event_time(F.lit(1511658000123), "ms").alias("ms"),
-        next_utc_midnight(event_time(F.lit(1511658000))).alias("reset"),
+        event_time(F.lit(1636070400)).alias("s"),
+        event_time(F.lit(1636070400123), "ms").alias("ms"),
+        next_utc_midnight(event_time(F.lit(1636070400))).alias("reset"),
     ).first()
-    assert row.s == dt.datetime(2017, 11, 26, 1) and row.ms.microsecond == 123000
-    assert row.reset == dt.datetime(2017, 11, 27)
+    assert row.s == dt.datetime(2021, 11, 5) and row.ms.microsecond == 123000
+    assert row.reset == dt.datetime(2021, 11, 6)
 
 
 def test_rows_from_the_future_are_set_apart(spark):
-    df = spark.createDataFrame([(1511658000,), (15116580010,), (None,)], "epoch BIGINT")
+    df = spark.createDataFrame([(1636070400,), (16360704003,), (None,)], "epoch BIGINT")
     df = df.select(event_time("epoch").alias("ts"))
     rows, rejects = reject_future(df, "ts", "1 day")
     assert (rows.count(), rejects.count()) == (1, 2)

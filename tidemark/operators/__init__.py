@@ -1,14 +1,12 @@
 from .detectors import cap_per_key_per_day, fail_pairs, fail_runs, order_pay_status, running_count_per_day
 from .distinct import first_sights, running_unique_count, unique_count
 from .joins import connected, interval_join, prefixed, reconcile, window_join
-from .ordered import OrderedGroups
 from .outputs import parquet_sink, split_outputs, tagged, write_outputs
 from .patterns import Step, match_sequence
 from .ranking import latest_per_key, ranked_report, top_n
 from .windows import page_views, sliding_ends, windowed_agg, windowed_avg, windowed_count
 
 __all__ = [
-    "OrderedGroups",
     "Step",
     "cap_per_key_per_day",
     "connected",

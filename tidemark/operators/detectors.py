@@ -20,7 +20,8 @@ from ..functions.text import (
     over_limit_message,
 )
 from ..functions.time import gap_seconds, seconds, utc_day
-from .ordered import HOT_ROWS, OrderedGroups, rank_limit
+from .ordered import with_neighbours, with_running_number, with_runs
+
 
 def _as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -32,13 +33,11 @@ def running_count_per_day(
     ts: str,
     order_by: Sequence[str] = (),
     count: str = "count",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Position of every row within its key and UTC day; rows are ordered by ``order_by`` or ``ts``."""
     by = [*_as_list(keys), "day"]
     dated = df.withColumn("day", utc_day(ts))
-    groups = OrderedGroups(dated, by, list(order_by) or [ts], hot_rows)
-    return groups.with_running_sum(count, F.lit(1).cast("bigint")).rows()
+    return with_running_number(dated, by, list(order_by) or [ts], ts, count)
 
 
 def cap_per_key_per_day(
@@ -48,7 +47,6 @@ def cap_per_key_per_day(
     limit: int,
     order_by: Sequence[str] = (),
     message: str | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Pass the first ``limit`` rows per key and UTC day; one warning at row ``limit + 1``.
 
@@ -61,12 +59,9 @@ def cap_per_key_per_day(
 
         counted = daily_cap(df, keys, ts, limit, list(order_by) or [ts])
     else:
-        if limit < rank_limit(df.sparkSession):
-            # Asking for a bounded rank lets Spark cut every group before the shuffle.
-            order = Window.partitionBy(*keys, utc_day(ts)).orderBy(*(list(order_by) or [ts]))
-            counted = df.withColumn("_n", F.row_number().over(order))
-        else:
-            counted = running_count_per_day(df, keys, ts, order_by, "_n", hot_rows)
+        # Asking for a bounded rank lets Spark cut every group before the shuffle.
+        order = Window.partitionBy(*keys, utc_day(ts)).orderBy(*(list(order_by) or [ts]))
+        counted = df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= limit + 1)
     passed = counted.filter(F.col("_n") <= limit).select(*df.columns)
     warnings = counted.filter(F.col("_n") == limit + 1).select(
         *keys, F.col(ts).alias("at"), F.lit(message or over_limit_message(limit)).alias("message")
@@ -82,7 +77,6 @@ def fail_pairs(
     max_gap: int | str = 2,
     order_by: Sequence[str] = (),
     fail: str = "fail",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Two fails in direct succession less than ``max_gap`` apart; any other status breaks a pair.
 
@@ -97,11 +91,11 @@ def fail_pairs(
         pairs = fail_pairs_stream(df.withColumn("_fail", failed), keys, ts, gap, list(order_by))
     else:
         rows = df.select(*keys, ts, *[c for c in order_by if c != ts], failed.alias("_fail"))
-        groups = OrderedGroups(rows, keys, list(order_by) or [ts], hot_rows)
-        before = groups.with_previous("_before", F.when(F.col("_fail"), F.col(ts))).rows()
-        close = gap_seconds("_before", ts) < gap
+        last = F.struct(F.when(F.col("_fail"), F.col(ts)).alias("at"))
+        before = with_neighbours(rows, keys, list(order_by) or [ts], ts, last)
+        close = gap_seconds("_before.at", ts) < gap
         pairs = before.filter(F.col("_fail") & close).select(
-            *keys, F.col("_before").alias("first_fail"), F.col(ts).alias("last_fail")
+            *keys, F.col("_before.at").alias("first_fail"), F.col(ts).alias("last_fail")
         )
     return pairs.withColumn("message", F.lit(login_fail_message(gap)))
 
@@ -115,7 +109,6 @@ def fail_runs(
     min_fails: int = 2,
     order_by: Sequence[str] = (),
     fail: str = "fail",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """At most one row per uninterrupted run of fails: its first and ``min_fails``-th fail, when
     they are less than ``span`` apart."""
@@ -128,27 +121,10 @@ def fail_runs(
 
         runs = fail_runs_stream(df.withColumn("_fail", failed), keys, ts, span_s, min_fails, list(order_by))
     else:
-        # The min_fails-th fail of a run is a fail with exactly min_fails - 1 fails right before it
-        # and then something else, so a fixed look-back finds it without numbering the runs.
         rows = df.select(*keys, ts, *[c for c in order_by if c != ts], failed.alias("_fail"))
-        groups = OrderedGroups(
-            rows.withColumn("_row0", F.struct(F.col("_fail"), F.col(ts).alias("at"))),
-            keys,
-            list(order_by) or [ts],
-            hot_rows,
-        )
-        for back in range(1, min_fails + 1):
-            groups = groups.with_previous(f"_row{back}", F.col(f"_row{back - 1}"))
-        within_run = F.lit(True)
-        for back in range(min_fails):
-            within_run = within_run & F.coalesce(F.col(f"_row{back}._fail"), F.lit(False))
-        begins = ~F.coalesce(F.col(f"_row{min_fails}._fail"), F.lit(False))
-        first = F.col(f"_row{min_fails - 1}.at")
-        runs = (
-            groups.rows()
-            .filter(within_run & begins & (gap_seconds(first, F.col(ts)) < span_s))
-            .select(*keys, first.alias("first_fail"), F.col(ts).alias("last_fail"))
-        )
+        runs = with_runs(rows, keys, list(order_by) or [ts], ts, "_fail")
+        within = (F.col("_length") == min_fails) & (gap_seconds("_begin", ts) < span_s)
+        runs = runs.filter(within).select(*keys, F.col("_begin").alias("first_fail"), F.col(ts).alias("last_fail"))
     return runs.withColumn("message", F.lit(login_fail_message(span_s)))
 
 
@@ -161,8 +137,7 @@ def order_pay_status(
     order_by: Sequence[str] = (),
     create: str = "create",
     pay: str = "pay",
-    keep_expired: int | str = 0,
-    hot_rows: int = HOT_ROWS,
+    keep_expired: int | str = "1 day",
 ) -> DataFrame:
     """Outcome of every order: columns key, ``create_ts``, ``pay_ts``, ``result``.
 
@@ -171,8 +146,8 @@ def order_pay_status(
     A pay with no open order is unknown. An order still open at the end, or replaced when already
     expired, has timed out. A create comes before a pay of the same time.
 
-    A stream reports a time-out when the watermark reaches ``create + timeout + keep_expired``;
-    a pay arriving after that is unknown there.
+    An order is given up ``timeout + keep_expired`` after its create: it has timed out, and a pay
+    from then on is unknown. A stream reports the time-out when its watermark gets there.
     """
     keys, limit = _as_list(key), seconds(timeout)
     rows = df.filter(F.col(kind).isin(create, pay)).select(
@@ -183,18 +158,15 @@ def order_pay_status(
 
         return order_pay_stream(rows, keys, ts, limit, seconds(keep_expired), list(order_by))
     event = F.struct(F.col("_pay"), F.col(ts).alias("at"))
-    groups = OrderedGroups(rows, keys, [ts, "_pay", *[c for c in order_by if c != ts]], hot_rows)
-    seen = groups.with_previous("_before", event).with_next("_after", event).rows()
-    opened = F.when(~F.col("_before._pay"), F.col("_before.at"))
-    paid = (
-        F.when(opened.isNull(), PAID_UNKNOWN)
-        .when(F.unix_micros(ts) - F.unix_micros(opened) < limit * 1_000_000, PAID)
-        .otherwise(PAID_LATE)
-    )
-    replaced_late = ~F.col("_after._pay") & (
-        F.unix_micros("_after.at") - F.unix_micros(ts) >= limit * 1_000_000
-    )
-    unpaid = F.when(F.col("_after").isNull() | replaced_late, TIMED_OUT)
+    order = [ts, "_pay", *[c for c in order_by if c != ts]]
+    seen = with_neighbours(rows, keys, order, ts, event)
+    limit_us, keep_us = limit * 1_000_000, (limit + seconds(keep_expired)) * 1_000_000
+    waited = F.unix_micros(ts) - F.unix_micros("_before.at")
+    opened = F.when(~F.col("_before._pay") & (waited < keep_us), F.col("_before.at"))
+    paid = F.when(opened.isNull(), PAID_UNKNOWN).when(waited < limit_us, PAID).otherwise(PAID_LATE)
+    until = F.unix_micros("_after.at") - F.unix_micros(ts)
+    given_up = until >= F.when(F.col("_after._pay"), keep_us).otherwise(limit_us)
+    unpaid = F.when(F.col("_after").isNull() | given_up, TIMED_OUT)
     is_pay = F.col("_pay")
     return seen.select(
         *keys,

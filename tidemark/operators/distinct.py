@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import bitmap_position
 from ..functions.time import plain_time, seconds
-from .ordered import HOT_ROWS, OrderedGroups
+from .ordered import with_running_number
 from .windows import windowed_agg
 
 METHODS = ("exact", "bitmap", "approx")
@@ -48,7 +48,7 @@ def unique_count(
 
 
 def first_sights(
-    stream: DataFrame, id_col: str, ts: str, size: int | str = "1 hour", method: str = "bitmap"
+    stream: DataFrame, id_col: str, ts: str, size: int | str = "1 hour", method: str = "exact"
 ) -> DataFrame:
     """On a stream: one row per window and id, given out when the id is first met.
 
@@ -67,8 +67,7 @@ def running_unique_count(
     ts: str,
     size: int | str = "1 hour",
     order_by: Sequence[str] = (),
-    method: str = "bitmap",
-    hot_rows: int = HOT_ROWS,
+    method: str = "exact",
 ) -> DataFrame:
     """Every first sight of an id in its window, with the distinct count reached at that row.
 
@@ -78,14 +77,7 @@ def running_unique_count(
     window = F.window(ts, f"{size_s} seconds")
     order = [ts, *order_by]
     rows = df.select(window.getField("end").alias("window_end"), _identity(id_col, method).alias("id"), *order)
-    firsts = rows.groupBy("window_end", "id").agg(F.min(F.struct(*order)).alias("_at"))
-    firsts = firsts.select("window_end", "id", *[F.col(f"_at.{c}").alias(c) for c in order])
-    groups = OrderedGroups(
-        firsts,
-        ["window_end"],
-        order,
-        hot_rows,
-        sizes=rows.groupBy("window_end").agg(F.approx_count_distinct("id").alias("rows")),
-    )
-    counted = groups.with_running_sum("count", F.lit(1).cast("bigint")).rows()
-    return counted.select("window_end", "id", F.col(ts).alias("first_seen"), "count")
+    # Times are combined in a hash aggregate; only what ties with the first time is compared further.
+    first = rows.groupBy("window_end", "id").agg(F.min(ts).alias(ts), *[F.min_by(c, F.struct(*order)).alias(c) for c in order_by])
+    counted = with_running_number(first, ["window_end"], order, ts, "count", max(1, size_s // 60))
+    return counted.select("window_end", "id", F.col(ts).alias("first_seen"), F.col("count").cast("bigint").alias("count"))

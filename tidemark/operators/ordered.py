@@ -1,166 +1,131 @@
-"""Look-back, look-ahead and running sums within ordered groups, without one task per group.
-
-A window function keeps a whole group in one task. That is right for ordinary keys, but a key
-with a large share of all rows would stall the job. ``OrderedGroups`` counts the groups first
-(one narrow aggregate, combined before its shuffle). Groups above ``hot_rows`` are cut into
-consecutive pieces by range partitioning on key and order; each piece is evaluated like an
-ordinary group and receives what it needs from its neighbours through one small carry row.
-Results are the same as of the plain window function.
+"""Look-back, look-ahead, running numbers and sequences in ordered groups, without one task per group.
+
+A window function keeps a whole group in one task, which a key with a large share of all rows would stall. Here every
+group is always cut into bins of time, and a bin learns what it needs of the others from one small row per key and bin,
+or from a copy of its neighbour's rows where the rule has a time limit. No job runs while a query is built, nothing is
+collected or broadcast, and the plan has the same size whatever the data.
+
+Bins need an order that begins with the time. For an order of one's own (an arrival number, say) a group is one bin.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import enable_checkpoints
+BIN = "_bin"
+#: Width of a bin, where no time limit gives one.
+BIN_SECONDS = 3600
 
-HOT_ROWS = 5_000_000
 
-# Bounds of what is handled apart. Only the largest MAX_HOT_GROUPS groups are cut, so a group
-# left whole holds at most 1/MAX_HOT_GROUPS of all rows. The carry table has one row per group
-# and piece: at most MAX_HOT_GROUPS + MAX_PIECES rows, small enough to broadcast.
-MAX_HOT_GROUPS = 10_000
-MAX_PIECES = 20_000
+def with_bins(df: DataFrame, ts: str, order: Sequence[str], width_s: int = BIN_SECONDS) -> DataFrame:
+    """The column ``_bin``: the number of the row's bin of time, or 0 where the order is not by time."""
+    number = F.floor(F.unix_micros(ts) / (width_s * 1_000_000)) if order[0] == ts else F.lit(0)
+    return df.withColumn(BIN, number.cast("bigint"))
 
-PIECE = "_piece"
-ORDINARY = -1
 
+def per_bin(keys: Sequence[str], order: Sequence[str]):
+    """Window over the rows of a key and bin, in order."""
+    return Window.partitionBy(*keys, BIN).orderBy(*order)
 
-def rank_limit(spark: SparkSession) -> int:
-    """Ranks below this let Spark cut every group to them before the shuffle."""
-    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
+def over_bins(keys: Sequence[str]):
+    """Window over the bins of a key, for tables with one row per key and bin."""
+    return Window.partitionBy(*keys).orderBy(BIN)
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, sizes: DataFrame | None = None) -> list:
-    """Keys and row counts of the groups above ``hot_rows``, at most MAX_HOT_GROUPS of them."""
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return sizes.filter(F.col("rows") > hot_rows).orderBy(F.col("rows").desc()).limit(MAX_HOT_GROUPS).collect()
 
+def join_bins(rows: DataFrame, bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with what is known of their bin; null is a key like any other."""
+    renamed = bins.withColumnsRenamed({c: f"_b_{c}" for c in [*keys, BIN]})
+    same = F.col(BIN) == F.col(f"_b_{BIN}")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
+    return rows.join(renamed, same).drop(*[f"_b_{c}" for c in [*keys, BIN]])
 
-class OrderedGroups:
-    """Rows grouped by ``keys`` and ordered by ``order_by``; each ``with_*`` adds one column.
 
-    ``order_by`` has to be unique within a group for repeatable results. ``reverse`` sorts the
-    groups from the last row to the first, the direction in which looking ahead is cheap; one
-    direction per chain of steps means one sort.
-    """
+def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, value: Column) -> DataFrame:
+    """``_before`` and ``_after``: ``value`` of the rows before and after, null at the ends of the group."""
+    rows = with_bins(df, ts, order).withColumn("_value", value)
+    at = F.struct(*order)
+    ends = rows.groupBy(*keys, BIN).agg(F.min_by("_value", at).alias("_first"), F.max_by("_value", at).alias("_last"))
+    ends = ends.select(
+        *keys,
+        BIN,
+        F.lag("_last").over(over_bins(keys)).alias("_earlier"),
+        F.lead("_first").over(over_bins(keys)).alias("_later"),
+    )
+    window = per_bin(keys, order)
+    near = rows.withColumn("_back", F.lag("_value").over(window)).withColumn("_ahead", F.lead("_value").over(window))
+    joined = join_bins(near, ends, keys)
+    joined = joined.withColumn("_before", F.coalesce("_back", "_earlier")).withColumn("_after", F.coalesce("_ahead", "_later"))
+    return joined.drop("_value", "_back", "_ahead", "_earlier", "_later", BIN)
+
+
+def with_running_number(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, name: str, width_s: int = BIN_SECONDS
+) -> DataFrame:
+    """``name``: the row's number in its group, from 1."""
+    rows = with_bins(df, ts, order, width_s)
+    sizes = rows.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = F.sum("_rows").over(over_bins(keys).rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(*keys, BIN, F.coalesce(earlier, F.lit(0)).alias("_earlier"))
+    numbered = rows.withColumn("_number", F.row_number().over(per_bin(keys, order)))
+    joined = join_bins(numbered, sizes, keys)
+    return joined.withColumn(name, F.col("_earlier") + F.col("_number")).drop("_earlier", "_number", BIN)
 
-    def __init__(
-        self,
-        df: DataFrame,
-        keys: Sequence[str],
-        order_by: Sequence[str],
-        hot_rows: int = HOT_ROWS,
-        reverse: bool = False,
-        sizes: DataFrame | None = None,
-    ):
-        self.keys, self.order, self.reverse = list(keys), list(order_by), reverse
-        hot = hot_groups(df, self.keys, hot_rows, sizes)
-        self.cut = bool(hot)
-        self._df = self._cut(df, hot, hot_rows) if hot else df
-
-    def _cut(self, df: DataFrame, hot: list, hot_rows: int) -> DataFrame:
-        spark = df.sparkSession
-        enable_checkpoints(spark)
-        key_types = ", ".join(f"`_k{i}` {df.schema[k].dataType.simpleString()}" for i, k in enumerate(self.keys))
-        table = spark.createDataFrame([tuple(r[k] for k in self.keys) for r in hot], key_types)
-        same = self._same_keys()
-        pieces = min(MAX_PIECES, max(2, -(-2 * sum(r["rows"] for r in hot) // hot_rows)))
-        # The piece number has to be the same for every later reader, also after a lost executor,
-        # so the cut rows are fixed by a checkpoint. Consecutive pieces hold consecutive rows.
-        cut = (
-            df.join(F.broadcast(table), same, "left_semi")
-            .repartitionByRange(pieces, *self.keys, *self.order)
-            .withColumn(PIECE, F.spark_partition_id())
-            .checkpoint()
-        )
-        ordinary = df.join(F.broadcast(table), same, "left_anti").withColumn(PIECE, F.lit(ORDINARY))
-        return ordinary.unionByName(cut)
-
-    def _same_keys(self) -> Column:
-        """Rows against a table with the keys in ``_k0, _k1, ..``; null is a key like any other."""
-        same = F.lit(True)
-        for i, k in enumerate(self.keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        return same
-
-    def _copy(self, df: DataFrame) -> OrderedGroups:
-        other = object.__new__(OrderedGroups)
-        other.__dict__.update(self.__dict__, _df=df)
-        return other
-
-    def _window(self, reverse: bool):
-        by = [*self.keys, PIECE] if self.cut else self.keys
-        sort = [F.col(c).desc() if reverse else F.col(c).asc() for c in self.order]
-        return Window.partitionBy(*by).orderBy(*sort)
-
-    def _order_key(self) -> Column:
-        return F.struct(*self.order)
-
-    def _with_carry(self, summary: Column, from_pieces: Callable[[Column], Column]) -> DataFrame:
-        """Rows plus ``_carry``: the summaries of the other pieces of the group, combined."""
-        pieces = self._df.filter(F.col(PIECE) != ORDINARY).groupBy(*self.keys, PIECE).agg(summary.alias("_s"))
-        carry = pieces.select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)],
-            F.col(PIECE).alias("_p"),
-            from_pieces(F.col("_s")).alias("_carry"),
-        )
-        same = (F.col(PIECE) == F.col("_p")) & self._same_keys()
-        joined = self._df.join(F.broadcast(carry), same, "left")
-        return joined.drop("_p", *[f"_k{i}" for i in range(len(self.keys))])
-
-    def _piece_window(self, reverse: bool):
-        piece = F.col(PIECE).desc() if reverse else F.col(PIECE).asc()
-        return Window.partitionBy(*self.keys).orderBy(piece)
-
-    def _neighbour(self, name: str, value: Column, ahead: bool) -> OrderedGroups:
-        boxed = F.struct(value.alias("v"))
-        shift = F.lag if ahead == self.reverse else F.lead
-        near = shift(boxed).over(self._window(self.reverse))
-        if not self.cut:
-            return self._copy(self._df.withColumn(name, near.getField("v")))
-        edge = F.min_by(boxed, self._order_key()) if ahead else F.max_by(boxed, self._order_key())
-        rows = self._with_carry(edge, lambda s: F.lag(s).over(self._piece_window(reverse=ahead)))
-        found = F.coalesce(near, F.col("_carry")).getField("v")
-        return self._copy(rows.withColumn(name, found).drop("_carry"))
-
-    def with_previous(self, name: str, value: Column) -> OrderedGroups:
-        """``value`` of the row before, null on the first row."""
-        return self._neighbour(name, value, ahead=False)
-
-    def with_next(self, name: str, value: Column) -> OrderedGroups:
-        """``value`` of the row after, null on the last row."""
-        return self._neighbour(name, value, ahead=True)
-
-    def with_next_present(self, name: str, value: Column) -> OrderedGroups:
-        """First non-null ``value`` among the rows after."""
-        # Reading backwards turns "first of all following" into a running last, linear in rows.
-        following = self._window(reverse=True).rowsBetween(Window.unboundedPreceding, -1)
-        near = F.last(value, ignorenulls=True).over(following)
-        if not self.cut:
-            return self._copy(self._df.withColumn(name, near))
-        head = F.min_by(value, F.when(value.isNotNull(), self._order_key()))
-        later = self._piece_window(reverse=True).rowsBetween(Window.unboundedPreceding, -1)
-        rows = self._with_carry(head, lambda s: F.last(s, ignorenulls=True).over(later))
-        return self._copy(rows.withColumn(name, F.coalesce(near, F.col("_carry"))).drop("_carry"))
-
-    def with_running_sum(self, name: str, value: Column) -> OrderedGroups:
-        """Sum of ``value`` from the first row of the group to this one."""
-        upto = self._window(reverse=False).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        near = F.sum(value).over(upto)
-        if not self.cut:
-            return self._copy(self._df.withColumn(name, near))
-        before = self._piece_window(reverse=False).rowsBetween(Window.unboundedPreceding, -1)
-        rows = self._with_carry(F.sum(value), lambda s: F.sum(s).over(before))
-        total = near + F.coalesce(F.col("_carry"), F.lit(0))
-        return self._copy(rows.withColumn(name, total).drop("_carry"))
-
-    def with_column(self, name: str, value: Column) -> OrderedGroups:
-        return self._copy(self._df.withColumn(name, value))
-
-    def rows(self) -> DataFrame:
-        return self._df.drop(PIECE) if self.cut else self._df
+
+def with_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, flag: str) -> DataFrame:
+    """``_length`` and ``_begin`` on flagged rows: place in the uninterrupted run of flagged rows, and its first time.
+
+    The run that is open at the end of a bin goes on into the next; runs over many bins add up the counts of all bins
+    since the last interruption.
+    """
+    rows = with_bins(df, ts, order)
+    window = per_bin(keys, order)
+    breaks = F.sum(F.when(F.col(flag), 0).otherwise(1)).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_breaks", breaks)
+    upto = Window.partitionBy(*keys, BIN, "_breaks").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_here", F.sum(F.when(F.col(flag), 1).otherwise(0)).over(upto))
+    rows = rows.withColumn("_start", F.first(F.when(F.col(flag), F.col(ts)), ignorenulls=True).over(upto))
+
+    tail = df.withColumn("_at", F.struct(*order))
+    tail = with_bins(tail, ts, order)
+    stops = tail.groupBy(*keys, BIN).agg(F.max(F.when(~F.col(flag), F.col("_at"))).alias("_stop"))
+    tail = join_bins(tail, stops, keys).where(F.col("_stop").isNull() | (F.col("_at") > F.col("_stop")))
+    tail = tail.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_n"), F.min_by(ts, "_at").alias("_from"))
+    stops = stops.select(*keys, BIN, F.col("_stop").isNotNull().cast("int").alias("_stopped"))
+    same = tail.withColumnsRenamed({c: f"_t_{c}" for c in [*keys, BIN]})
+    match = F.col(BIN) == F.col(f"_t_{BIN}")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+    bins = stops.join(same, match, "left").drop(*[f"_t_{c}" for c in [*keys, BIN]])
+    bins = bins.withColumn("_part", F.sum("_stopped").over(over_bins(keys)))
+    since = Window.partitionBy(*keys, "_part").orderBy(BIN).rowsBetween(Window.unboundedPreceding, 0)
+    bins = bins.withColumn("_open", F.sum(F.coalesce("_n", F.lit(0))).over(since))
+    bins = bins.withColumn("_since", F.first("_from", ignorenulls=True).over(since))
+    bins = bins.select(
+        *keys,
+        BIN,
+        F.lag("_open", 1, 0).over(over_bins(keys)).alias("_open"),
+        F.lag("_since").over(over_bins(keys)).alias("_since"),
+    )
+    joined = join_bins(rows, bins, keys)
+    goes_on = (F.col("_breaks") == 0) & (F.col("_open") > 0)
+    return joined.select(
+        *df.columns,
+        F.when(F.col(flag), F.col("_here") + F.when(goes_on, F.col("_open")).otherwise(0)).alias("_length"),
+        F.when(F.col(flag), F.when(goes_on, F.col("_since")).otherwise(F.col("_start"))).alias("_begin"),
+    )
+
+
+def with_next_bin(df: DataFrame, ts: str, order: Sequence[str], width_s: int) -> DataFrame:
+    """Every row in its own bin (``_own``) and, as a look-ahead, in the one before.
+
+    A rule with a time limit of at most ``width_s`` sees in a bin all that its own rows need.
+    """
+    rows = with_bins(df, ts, order, width_s)
+    copies = F.array(F.struct(F.lit(True).alias("own"), F.lit(0).alias("step")), F.struct(F.lit(False).alias("own"), F.lit(1).alias("step")))
+    rows = rows.withColumn("_copy", F.explode(copies))
+    return rows.withColumn(BIN, F.col(BIN) - F.col("_copy.step")).withColumn("_own", F.col("_copy.own")).drop("_copy")

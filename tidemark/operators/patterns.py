@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import seconds
-from .ordered import HOT_ROWS, OrderedGroups
+from .ordered import BIN, with_next_bin
 
 NEXT = "next"
 FOLLOWED_BY = "followed_by"
@@ -38,7 +38,6 @@ def match_sequence(
     within: int | str,
     order_by: Sequence[str] = (),
     on_timeout: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per first-step event that completes the sequence or runs out of time.
 
@@ -67,7 +66,7 @@ def match_sequence(
             rows, keys, ts, [s.name for s in steps], [s.contiguity for s in steps], within_s, tie
         )
     else:
-        found = _match_batch(rows, keys, ts, tie, steps, within_s, hot_rows)
+        found = _match_batch(rows, keys, ts, tie, steps, within_s)
     return found if on_timeout else found.filter(F.col("output") == MATCHED)
 
 
@@ -78,14 +77,19 @@ def _match_batch(
     tie: list[str],
     steps: Sequence[Step],
     within_s: int,
-    hot_rows: int,
 ) -> DataFrame:
     """Work from the last step back: every event learns how the sequence goes on from it.
 
+    Keys are cut into bins of the time limit, each with a copy of the next bin's rows, which is all that a start in
+    the bin can reach in time.
+
     ``_tail{i}`` of an event fitting step i holds the times ``t{i}, t{i+1}, ..`` of the steps as
     far as they were found, and in ``broke`` the time of the event that failed a strict step.
     """
-    groups = OrderedGroups(rows, keys, [ts, *tie], hot_rows, reverse=True)
+    rows = with_next_bin(rows, ts, [ts, *tie], max(1, within_s))
+    # Reading backwards turns "first of all following" into a running last, linear in rows.
+    backwards = Window.partitionBy(*keys, BIN).orderBy(*[F.col(c).desc() for c in (ts, *tie)])
+    following = backwards.rowsBetween(Window.unboundedPreceding, -1)
     last = len(steps) - 1
     never = F.lit(None).cast("timestamp")
 
@@ -93,19 +97,20 @@ def _match_batch(
         times = [F.col(ts).alias(f"t{i}")] + [further(j).alias(f"t{j}") for j in range(i + 1, last + 1)]
         return F.struct(*times, broke.alias("broke"))
 
-    groups = groups.with_column(f"_tail{last}", F.when(F.col(f"_is{last}"), tail_from(last, None, never)))
+    rows = rows.withColumn(f"_tail{last}", F.when(F.col(f"_is{last}"), tail_from(last, None, never)))
     for i in range(last - 1, -1, -1):
         further = F.col(f"_tail{i + 1}")
         if steps[i + 1].contiguity == FOLLOWED_BY:
-            groups = groups.with_next_present("_ahead", further)
+            rows = rows.withColumn("_ahead", F.last(further, ignorenulls=True).over(following))
             tail, broke = F.col("_ahead"), never
         else:
-            groups = groups.with_next("_ahead", F.struct(F.col(ts).alias("at"), further.alias("tail")))
+            next_event = F.struct(F.col(ts).alias("at"), further.alias("tail"))
+            rows = rows.withColumn("_ahead", F.lag(next_event).over(backwards))
             tail, broke = F.col("_ahead.tail"), F.col("_ahead.at")
         going_on = tail_from(i, lambda j: tail.getField(f"t{j}"), tail.getField("broke"))
         stuck = tail_from(i, lambda j: never, broke)
         here = F.when(tail.isNotNull(), going_on).otherwise(stuck)
-        groups = groups.with_column(f"_tail{i}", F.when(F.col(f"_is{i}"), here))
+        rows = rows.withColumn(f"_tail{i}", F.when(F.col(f"_is{i}"), here))
 
     limit_us = within_s * 1_000_000
     start = F.unix_micros(ts)
@@ -120,8 +125,7 @@ def _match_batch(
     )
     step_times = [F.when(in_time(at), at).alias(f"{step.name}_ts") for step, at in zip(steps, times)]
     return (
-        groups.rows()
-        .filter(F.col("_is0"))
+        rows.filter(F.col("_is0") & F.col("_own"))
         .select(*keys, *step_times, output.alias("output"))
         .filter(F.col("output").isNotNull())
     )

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ITEM_REPORT, ReportFormat, ranked_line, report_text
-from .ordered import HOT_ROWS, OrderedGroups, rank_limit
 
 
 def top_n(
@@ -19,26 +18,20 @@ def top_n(
     n: int,
     report: bool = False,
     fmt: ReportFormat = ITEM_REPORT,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The ``n`` rows with the largest ``metric`` per partition, as the column ``rank``.
 
-    Ranking at most ``n`` rows lets Spark cut every group to ``n`` rows before the shuffle, so a
-    group of any size reaches its task as ``n`` rows per input task. For an ``n`` too large for
-    that the rank is a running count over groups cut into pieces. With ``report`` the result is
-    one text per partition instead; the first partition column is its time.
+    Ranking at most ``n`` rows lets Spark cut every group to ``n`` rows before the shuffle (for
+    ``n`` below ``spark.sql.optimizer.windowGroupLimitThreshold``), so a group of any size reaches
+    its task as ``n`` rows per input task. Any type that can be sorted is a metric; null comes
+    last. With ``report`` the result is one text per partition instead; the first partition column
+    is its time.
     """
     partition = [partition] if isinstance(partition, str) else list(partition)
     ties = [tie_break] if isinstance(tie_break, str) else list(tie_break)
     rows = df.select(*partition, *ties, metric)
-    if n < rank_limit(df.sparkSession):
-        order = Window.partitionBy(*partition).orderBy(F.col(metric).desc(), *[F.col(t).asc() for t in ties])
-        ranked = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-    else:
-        falling = rows.withColumn("_none", F.col(metric).isNull()).withColumn("_falling", -F.col(metric))
-        groups = OrderedGroups(falling, partition, ["_none", "_falling", *ties], hot_rows)
-        counted = groups.with_running_sum("rank", F.lit(1)).rows().filter(F.col("rank") <= n)
-        ranked = counted.select(*partition, *ties, metric, F.col("rank").cast("int").alias("rank"))
+    order = Window.partitionBy(*partition).orderBy(F.col(metric).desc(), *[F.col(t).asc() for t in ties])
+    ranked = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
     return ranked_report(ranked, partition, ties[0], metric, fmt) if report else ranked
 
 

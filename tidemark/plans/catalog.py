@@ -160,7 +160,7 @@ def unique_visitors_bitmap(spark, sf_dir):
 @query
 def unique_visitors_running(spark, sf_dir):
     views = events_of(spark, sf_dir, "view")
-    return distinct.running_unique_count(views, "user_id", "ts", order_by=["event_id"])
+    return distinct.running_unique_count(views, "user_id", "ts", order_by=["event_id"], method="bitmap")
 
 
 @query
@@ -276,7 +276,15 @@ def strict_then_relaxed_sequence(spark, sf_dir):
 @query
 def order_pay_status(spark, sf_dir):
     return detectors.order_pay_status(
-        behavior(spark, sf_dir), "user_id", "behavior", "ts", "12 hours", ["event_id"], "click", "purchase"
+        behavior(spark, sf_dir),
+        "user_id",
+        "behavior",
+        "ts",
+        "12 hours",
+        ["event_id"],
+        "click",
+        "purchase",
+        keep_expired="36500 days",
     )
 
 

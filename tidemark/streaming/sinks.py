@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ITEM_REPORT, ReportFormat
-from ..functions.time import seconds
-from ..operators.ordered import OrderedGroups
+from ..operators.ordered import with_running_number
 from ..operators.outputs import Sink
 from ..operators.ranking import latest_per_key, top_n
 
@@ -53,7 +52,6 @@ def running_top_n(
     metric: str,
     tie_break: str,
     n: int,
-    horizon: int | str,
     partition: str = "window_end",
 ) -> Callable[[DataFrame, int], None]:
     """For windowed counts in update mode: after every micro-batch, the current top n of each
@@ -61,11 +59,10 @@ def running_top_n(
 
     Counts only grow, so an item outside the top n can enter it only by an update of its own. It
     is therefore enough to keep the n rows per open window, as one small table per micro-batch in
-    the shared folder ``state_path``; a repeated micro-batch starts from the same table. Windows
-    ending more than ``horizon`` before the newest are given up; it has to cover window length
-    plus watermark delay. Ties keep the smaller ``tie_break``.
+    the shared folder ``state_path``; a repeated micro-batch starts from the same table. A window
+    is kept until the query's own watermark has passed its end, after which Spark lets no row in.
+    Ties keep the smaller ``tie_break``.
     """
-    horizon_s = seconds(horizon)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -80,7 +77,7 @@ def running_top_n(
         current = ranked.select(partition, F.col("_entry.*"), metric, "rank")
         changed = F.bool_or("_new").over(Window.partitionBy(partition))
         stored = _store(current.withColumn("_changed", changed).drop("_new"), f"{state_path}/rows={batch_id}")
-        kept = _recent(stored, partition, horizon).select(partition, tie_break, metric)
+        kept = _open_windows(stored, partition).select(partition, tie_break, metric)
         _store(kept, f"{state_path}/state={batch_id}")
         sink(stored.filter("_changed").drop("_changed"), batch_id)
         _forget(spark, state_path, batch_id)
@@ -88,9 +85,7 @@ def running_top_n(
     return step
 
 
-def running_unique_sink(
-    sink: Sink, state_path: str, horizon: int | str
-) -> Callable[[DataFrame, int], None]:
+def running_unique_sink(sink: Sink, state_path: str) -> Callable[[DataFrame, int], None]:
     """For ``first_sights``: number the distinct ids of every window as they come, 1, 2, 3, ..
 
     The count reached per open window is kept between micro-batches as for ``running_top_n``.
@@ -100,7 +95,7 @@ def running_unique_sink(
         spark = batch.sparkSession
         rows = _store(batch, f"{state_path}/rows={batch_id}")
         order = ["first_seen", "id"]
-        numbered = OrderedGroups(rows, ["window_end"], order).with_running_sum("_n", F.lit(1).cast("bigint")).rows()
+        numbered = with_running_number(rows, ["window_end"], order, "first_seen", "_n", 60)
         counts = rows.groupBy("window_end").agg(F.count(F.lit(1)).alias("count"))
         before = _state_before(spark, state_path, batch_id)
         if before is None:
@@ -109,7 +104,7 @@ def running_unique_sink(
             total = F.col("_n") + F.coalesce("count", F.lit(0))
             numbered = numbered.join(before, "window_end", "left").withColumn("count", total).drop("_n")
             counts = counts.unionByName(before).groupBy("window_end").agg(F.sum("count").alias("count"))
-        _store(_recent(counts, "window_end", horizon), f"{state_path}/state={batch_id}")
+        _store(_open_windows(counts, "window_end"), f"{state_path}/state={batch_id}")
         sink(numbered.select("window_end", "id", "first_seen", "count"), batch_id)
         _forget(spark, state_path, batch_id)
 
@@ -125,16 +120,23 @@ def _state_before(spark: SparkSession, state_path: str, batch_id: int) -> DataFr
     return spark.read.parquet(f"{state_path}/state={batch_id - 1}") if batch_id else None
 
 
-def _recent(df: DataFrame, window_end: str, horizon: int | str) -> DataFrame:
-    """Rows of windows that end at most ``horizon`` before the newest."""
-    newest = df.agg(F.max(window_end)).first()[0]
-    if newest is None:
-        return df
-    return df.filter(F.col(window_end) > F.lit(newest) - F.make_interval(secs=F.lit(seconds(horizon))))
+def _open_windows(df: DataFrame, window_end: str) -> DataFrame:
+    """Rows of windows that the running query's watermark has not passed; all of them if it is not known.
+
+    The watermark is that of the last finished micro-batch, which is never ahead of the current one.
+    """
+    spark = df.sparkSession
+    query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    query = spark.streams.get(query_id) if query_id else None
+    progress = query.lastProgress if query is not None else None
+    watermark = (progress["eventTime"] or {}).get("watermark") if progress else None
+    return df if watermark is None else df.filter(F.col(window_end) > F.lit(watermark).cast("timestamp"))
 
 
 def _forget(spark: SparkSession, state_path: str, batch_id: int) -> None:
-    """Drop the tables two micro-batches back; the one before is needed if this one is repeated."""
+    """Empty the tables two micro-batches back; the one before is needed if this one is repeated."""
     for kind in ("rows", "state"):
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/{kind}={batch_id - 2}")
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        if batch_id >= 2:
+            old = f"{state_path}/{kind}={batch_id - 2}"
+            schema = spark.read.parquet(f"{state_path}/{kind}={batch_id}").schema
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(old)
