@@ -28,6 +28,7 @@ from tidemark.operators import (
     windowed_count,
     write_outputs,
 )
+from tidemark.plans import jobs
 from tidemark.streaming import ranked_sink, read_latest, running_top_n, running_unique_sink, upsert_log
 from tidemark.streaming.processors import InOrder, in_order
 
@@ -112,6 +113,19 @@ def test_running_top_n_ends_at_the_final_ranking(events):
     assert given.count() > final.count()
 
 
+def test_hot_items_and_urls_of_a_stream(events):
+    for write, batch, rows in (
+        (jobs.write_hot_items, jobs.hot_items, events.withColumn("behavior", F.lit("pv"))),
+        (jobs.write_hot_urls, jobs.hot_urls, events.select("ts", F.lit("GET").alias("method"), F.format_string("/i/%d", "item_id").alias("url"))),
+    ):
+        out = tempfile.mkdtemp(prefix="tidemark-out-")
+        always = {c: v for c, v in (("behavior", "pv"), ("method", "GET"), ("url", "/i/0")) if c in rows.columns}
+        stream = as_stream(rows, **DISORDER, **always)
+        write(stream, parquet_sink(out), slide="5 minutes").trigger(availableNow=True).start().awaitTermination()
+        given = before_end(events.sparkSession.read.parquet(out).drop("batch_id"), "window_end")
+        assert lines(given) == lines(batch(rows, slide="5 minutes"))
+
+
 def _minutes(spark, rows, columns):
     """Rows with their time in minutes; one file, and so one micro-batch, per list."""
     for batch in rows:
@@ -132,7 +146,7 @@ def _run(spark, parts, job, step, mode):
 def test_late_rows_meet_the_ranking_of_their_window(spark):
     """A row far ahead must not make a window forget its ranks while the watermark lets rows in."""
     out, state = tempfile.mkdtemp(prefix="tidemark-out-"), tempfile.mkdtemp(prefix="tidemark-state-")
-    batches = [[(5, 1)] * 5 + [(6, 2)] * 4, [(130, 9)], [(7, 3)]]
+    batches = [[(5, 1)] * 5 + [(6, 2)] * 4, [(130, 9)], [(7, 3), (8, 2), (9, 2)]]
     job = lambda df: windowed_count(df, ["item_id"], "ts", "1 hour")
     step = running_top_n(parquet_sink(out), state, "count", "item_id", 2)
     _run(spark, _minutes(spark, batches, "minute INT, item_id BIGINT"), job, step, "update")
@@ -141,7 +155,7 @@ def test_late_rows_meet_the_ranking_of_their_window(spark):
     newest = given.agg(F.max("batch_id")).first()[0]
     assert newest >= 2
     last = given.filter(F.col("batch_id") == newest)
-    assert [(r["rank"], r["item_id"], r["count"]) for r in last.orderBy("rank").collect()] == [(1, 1, 5), (2, 2, 4)]
+    assert [(r["rank"], r["item_id"], r["count"]) for r in last.orderBy("rank").collect()] == [(1, 2, 6), (2, 1, 5)]
 
 
 def test_late_ids_go_on_with_the_numbers_of_their_window(spark):

@@ -116,10 +116,21 @@ def window_join(
         left = _window_in_place_of_time(a, a_ts, "_w", spec)
         right = _window_in_place_of_time(right, b_ts, "_r_w", spec)
         end = F.col("_w.end")
-    else:
+    elif slide_s >= size_s:
         left = _ends(a, a_ts, size_s, slide_s).withColumnRenamed("window_end", "_w")
         right = _ends(right, b_ts, size_s, slide_s).withColumnRenamed("window_end", "_r_w")
         end = F.col("_w")
+    else:
+        # Rows share a window only if they are less than its length apart: match those once, by
+        # bins of time, and let each pair give a row per window that it shares.
+        left, right = _binned(a, a_ts, right, b_ts, 1 - size_s, size_s - 1)
+        one, other = F.unix_seconds(a_ts), F.unix_seconds(b_ts)
+        first = aligned(F.greatest(one, other) - size_s, slide_s) + slide_s
+        starts = steps(first, aligned(F.least(one, other), slide_s), slide_s)
+        pairs = left.join(right, _same(on) & (F.col("_bin") == F.col("_r_bin")) & (F.abs(one - other) < size_s))
+        pairs = pairs.select(*a.columns, *rest, F.explode(starts).alias("_start"))
+        bounds = [F.timestamp_seconds("_start").alias("window_start"), F.timestamp_seconds(F.col("_start") + size_s).alias("window_end")]
+        return pairs.select(*bounds, *a.columns, *rest)
     pairs = left.join(right, _same(on) & (F.col("_w") == F.col("_r_w")), "inner")
     start = end - F.expr(f"INTERVAL '{size_s}' SECOND")
     return pairs.select(start.alias("window_start"), end.alias("window_end"), *a.columns, *rest)

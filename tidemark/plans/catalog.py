@@ -17,6 +17,7 @@ from ..functions.hashing import bitmap_position
 from ..functions.text import PAID, TIMED_OUT
 from ..functions.time import next_utc_midnight, reject_future
 from ..operators import detectors, distinct, joins, patterns, ranking, windows
+from ..operators.ordered import with_running_number
 from ..sources import parsing
 from ..sources.tables import load_table, zoneless_timestamps
 from . import jobs
@@ -90,13 +91,12 @@ def hot_urls_report(spark, sf_dir):
 
 @query
 def late_corrected_counts(spark, sf_dir):
-    """A window fires, then fires again with the late rows: the later count replaces the first."""
+    """Every view, in order of arrival, corrects the count of its item and window: the newest one stands."""
     views = events_of(spark, sf_dir, "view").select("event_id", "ts", "item_id")
-    firings = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(2))).otherwise(F.array(F.lit(1), F.lit(2)))
-    fired = windows.windowed_count(
-        views.withColumn("firing", F.explode(firings)), ["item_id", "firing"], "ts", "1 hour"
-    )
-    return ranking.latest_per_key(fired.drop("window_start"), ["item_id", "window_end"], "firing")
+    keys = ["item_id", "window_end"]
+    ended = views.withColumn("window_end", F.window("ts", "1 hour").getField("end"))
+    given = with_running_number(ended, keys, ["event_id"], "ts", "count").select(*keys, "count", "event_id")
+    return ranking.latest_per_key(given, keys, "event_id").drop("event_id")
 
 
 @query
@@ -165,7 +165,12 @@ def unique_visitors_running(spark, sf_dir):
 
 @query
 def unique_visitors_approx(spark, sf_dir):
-    return distinct.unique_count(events_of(spark, sf_dir, "view"), "user_id", "ts", method="approx")
+    """Per hour, whether the estimate is within three standard errors (and one visitor) of the exact count."""
+    views, error = events_of(spark, sf_dir, "view"), 0.05
+    exact = distinct.unique_count(views, "user_id", "ts").select("window_end", F.col("count").alias("exact"))
+    about = distinct.unique_count(views, "user_id", "ts", method="approx", rsd=error)
+    near = F.abs(F.col("count") - F.col("exact")) <= 3 * error * F.col("exact") + 1
+    return about.join(exact, "window_end").select("window_start", "window_end", "exact", near.alias("is_near"))
 
 
 @query
@@ -186,13 +191,13 @@ def channel_counts(spark, sf_dir):
 @query
 def ad_clicks_by_province(spark, sf_dir):
     clicks = events_of(spark, sf_dir, "click").select("event_id", "ts", "user_id")
-    passed, _ = detectors.cap_per_key_per_day(clicks, "user_id", "ts", 2, ["ts", "event_id"])
     customers = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = load_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("province"))
-    placed = passed.join(customers, F.col("user_id") == F.col("c_custkey")).join(
+    placed = clicks.join(customers, F.col("user_id") == F.col("c_custkey")).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    counts = windows.windowed_count(placed, ["province"], "ts", "1 hour", "1 minute")
+    order = ["ts", "event_id"]
+    counts, _ = jobs.ad_clicks_by_province(placed, 2, "1 hour", "1 minute", ["user_id"], order)
     return counts.select("window_end", "province", "count")
 
 

@@ -10,15 +10,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.text import ITEM_REPORT, PAID, TIMED_OUT, URL_REPORT, login_fail_message
 from ..functions.time import seconds
 from ..operators.detectors import cap_per_key_per_day
 from ..operators.joins import prefixed, reconcile
+from ..operators.outputs import Sink
 from ..operators.patterns import FOLLOWED_BY, MATCHED, NEXT, Step, match_sequence
 from ..operators.ranking import top_n
 from ..operators.windows import windowed_count
 from ..sources.parsing import exclude_static_assets
+from ..streaming.sinks import ranked_sink
 
 
 def item_window_counts(
@@ -37,7 +40,7 @@ def hot_items(
     wanted: str = "pv",
     report: bool = False,
 ) -> DataFrame:
-    """Most viewed items per window end. Batch; for a stream see ``streaming.sinks.ranked_sink``."""
+    """Most viewed items per window end. Batch; for a stream see ``write_hot_items``."""
     counts = item_window_counts(behavior, size, slide, wanted)
     return top_n(counts, "window_end", "count", "item_id", n, report, ITEM_REPORT)
 
@@ -63,6 +66,34 @@ def hot_urls(
     return top_n(counts, "window_end", "count", "url", n, report, URL_REPORT)
 
 
+def write_hot_items(
+    behavior: DataFrame,
+    sink: Sink,
+    size: int | str = "1 hour",
+    slide: int | str = "5 minutes",
+    n: int = 3,
+    wanted: str = "pv",
+    report: bool = False,
+) -> DataStreamWriter:
+    """``hot_items`` of a stream: the writer gives ``sink`` the ranking of every window that has closed."""
+    counts = item_window_counts(behavior, size, slide, wanted)
+    return counts.writeStream.outputMode("append").foreachBatch(ranked_sink(sink, "count", "item_id", n, report, ITEM_REPORT))
+
+
+def write_hot_urls(
+    log: DataFrame,
+    sink: Sink,
+    size: int | str = "10 minutes",
+    slide: int | str = 5,
+    n: int = 5,
+    method: str = "GET",
+    report: bool = False,
+) -> DataStreamWriter:
+    """``hot_urls`` of a stream."""
+    counts = url_window_counts(log, size, slide, method)
+    return counts.writeStream.outputMode("append").foreachBatch(ranked_sink(sink, "count", "url", n, report, URL_REPORT))
+
+
 def channel_counts(
     marketing: DataFrame, size: int | str = "1 hour", slide: int | str = 1, unwanted: str = "UNINSTALL"
 ) -> DataFrame:

@@ -117,7 +117,7 @@ ORACLE: dict[str, str] = {
     "hot_urls": HOT_URLS,
     "hot_urls_report": _report(HOT_URLS, "时间", "url", ": URL=", " 点击量=", "=" * 15),
     "late_corrected_counts": f"""
-        SELECT item_id, {HOUR_END} AS window_end, CAST(2 AS INTEGER) AS firing, count(*) AS count
+        SELECT item_id, {HOUR_END} AS window_end, count(*) AS count
         FROM ({VIEWS}) GROUP BY ALL""",
     "parse_access_log": f"""
         SELECT '10.0.' || (user_id // 256) || '.' || (user_id % 256) AS ip,
@@ -137,6 +137,7 @@ ORACLE: dict[str, str] = {
     "page_views": _per_hour(VIEWS, "'pv' AS label, count(*) AS count"),
     "unique_visitors": _per_hour(VIEWS, "count(DISTINCT user_id) AS count"),
     "unique_items": _per_hour(VIEWS, "count(DISTINCT item_id) AS count"),
+    "unique_visitors_approx": _per_hour(VIEWS, "count(DISTINCT user_id) AS exact, true AS is_near"),
     "unique_visitors_bitmap": _per_hour(VIEWS, f"count(DISTINCT {POSITION}) AS count"),
     "unique_visitors_running": f"""
         SELECT window_end, id, first_seen,
