@@ -90,26 +90,3 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
 }
-
-LLM_ORACLE: dict[str, str] = {
-    "op1_embedding_near_dedup": """
-        WITH RECURSIVE good AS (
-            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
-              AND len(list_filter(embedding, x -> NOT isfinite(x))) = 0
-              AND len(list_filter(embedding, x -> x <> 0)) > 0
-        ),
-        links AS (
-            SELECT p.vec_id AS a, q.vec_id AS b FROM good p JOIN good q
-              ON p.vec_id <> q.vec_id AND len(p.v) = len(q.v) AND list_cosine_similarity(p.v, q.v) >= 0.95
-        ),
-        reach AS (
-            SELECT vec_id AS a, vec_id AS b FROM embeddings
-            UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
-        ),
-        comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
-        deg AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
-        SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
-        FROM embeddings e JOIN comp c USING (vec_id) LEFT JOIN deg d USING (vec_id)
-    """,
-}
