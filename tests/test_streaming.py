@@ -69,6 +69,15 @@ def test_sliding_counts(events):
         assert lines(stream) == lines(count(events))
 
 
+def test_closed_sliding_counts_from_panes(events):
+    for size, slide in (("1 hour", "5 minutes"), ("10 minutes", "5 seconds"), ("1 hour", "20 seconds")):
+        stream = windowed_count(as_stream(events, **DISORDER), ["item_id"], "ts", size, slide, closed_only=True)
+        plan = stream._jdf.queryExecution().analyzed().toString()
+        assert plan.count("Aggregate") == 2
+        given = before_end(drain(stream), "window_end")
+        assert lines(given) == lines(windowed_count(events, ["item_id"], "ts", size, slide))
+
+
 def test_average(events):
     average = lambda df: windowed_avg(df, "value", ["kind"], "ts", "1 hour", "15 minutes")
     stream = before_end(drain(average(as_stream(events, **DISORDER))), "window_end")

@@ -162,10 +162,21 @@ def windowed_count(
     size: int | str,
     slide: int | str | None = None,
     count: str = "count",
+    closed_only: bool = False,
 ) -> DataFrame:
-    """Rows per key and window."""
+    """Rows per key and window.
+
+    On a stream every row is given to each of its windows before it is counted. With ``closed_only`` (for append mode,
+    where a count comes once its window has closed) rows are counted in panes first and only the panes' counts are
+    given to the windows, so that the overlap multiplies results rather than rows.
+    """
     size_s = seconds(size)
     slide_s = seconds(slide) if slide is not None else size_s
+    if df.isStreaming and closed_only and slide_s < size_s:
+        pane = F.window(ts, f"{gcd(size_s, slide_s)} seconds").alias("_pane")
+        cells = df.groupBy(*keys, pane).agg(F.count(F.lit(1)).alias(count))
+        cells = cells.select(*keys, F.window_time("_pane").alias(ts), count)
+        return windowed_agg(cells, keys, ts, size_s, slide_s, **{count: F.sum(count)})
     if df.isStreaming or slide_s >= size_s:
         return windowed_agg(df.select(*keys, ts), keys, ts, size_s, slide_s, **{count: F.count(F.lit(1))})
     return _sliding_sums(df, keys, ts, size_s, slide_s, {count: F.count(F.lit(1))}, present=count)

@@ -25,11 +25,15 @@ from ..streaming.sinks import ranked_sink
 
 
 def item_window_counts(
-    behavior: DataFrame, size: int | str = "1 hour", slide: int | str = "5 minutes", wanted: str = "pv"
+    behavior: DataFrame,
+    size: int | str = "1 hour",
+    slide: int | str = "5 minutes",
+    wanted: str = "pv",
+    closed_only: bool = False,
 ) -> DataFrame:
     """Views per item and window."""
     views = behavior.filter(F.col("behavior") == wanted)
-    return windowed_count(views, ["item_id"], "ts", size, slide)
+    return windowed_count(views, ["item_id"], "ts", size, slide, closed_only=closed_only)
 
 
 def hot_items(
@@ -46,11 +50,15 @@ def hot_items(
 
 
 def url_window_counts(
-    log: DataFrame, size: int | str = "10 minutes", slide: int | str = 5, method: str = "GET"
+    log: DataFrame,
+    size: int | str = "10 minutes",
+    slide: int | str = 5,
+    method: str = "GET",
+    closed_only: bool = False,
 ) -> DataFrame:
     """Requests per page address and window, static files left out."""
     pages = exclude_static_assets(log.filter(F.col("method") == method), "url")
-    return windowed_count(pages, ["url"], "ts", size, slide)
+    return windowed_count(pages, ["url"], "ts", size, slide, closed_only=closed_only)
 
 
 def hot_urls(
@@ -76,7 +84,7 @@ def write_hot_items(
     report: bool = False,
 ) -> DataStreamWriter:
     """``hot_items`` of a stream: the writer gives ``sink`` the ranking of every window that has closed."""
-    counts = item_window_counts(behavior, size, slide, wanted)
+    counts = item_window_counts(behavior, size, slide, wanted, closed_only=True)
     return counts.writeStream.outputMode("append").foreachBatch(ranked_sink(sink, "count", "item_id", n, report, ITEM_REPORT))
 
 
@@ -90,7 +98,7 @@ def write_hot_urls(
     report: bool = False,
 ) -> DataStreamWriter:
     """``hot_urls`` of a stream."""
-    counts = url_window_counts(log, size, slide, method)
+    counts = url_window_counts(log, size, slide, method, closed_only=True)
     return counts.writeStream.outputMode("append").foreachBatch(ranked_sink(sink, "count", "url", n, report, URL_REPORT))
 
 
