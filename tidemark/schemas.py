@@ -4,18 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
-_TYPES = {"BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType()}
-
-
-def _schema(text: str) -> T.StructType:
-    fields = (field.split() for field in text.split(", "))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
-
-
-USER_BEHAVIOR = _schema("user_id BIGINT, item_id BIGINT, category_id INT, behavior STRING, epoch BIGINT")
-MARKETING_BEHAVIOR = _schema("user_id STRING, behavior STRING, channel STRING, epoch BIGINT")
-AD_CLICK = _schema("user_id BIGINT, ad_id BIGINT, province STRING, city STRING, epoch BIGINT")
-LOGIN = _schema("user_id BIGINT, ip STRING, status STRING, epoch BIGINT")
-ORDER = _schema("order_id BIGINT, event_type STRING, tx_id STRING, epoch BIGINT")
-RECEIPT = _schema("tx_id STRING, pay_channel STRING, epoch BIGINT")
+# Fixed: the order of the fields is that of the inputs.
+USER_BEHAVIOR = (
+    T.StructType()
+    .add("user_id", T.LongType())
+    .add("item_id", T.LongType())
+    .add("category_id", T.IntegerType())
+    .add("behavior", T.StringType())
+    .add("epoch", T.LongType())
+)
+MARKETING_BEHAVIOR = (
+    T.StructType()
+    .add("user_id", T.StringType())
+    .add("behavior", T.StringType())
+    .add("channel", T.StringType())
+    .add("epoch", T.LongType())
+)
+AD_CLICK = (
+    T.StructType()
+    .add("user_id", T.LongType())
+    .add("ad_id", T.LongType())
+    .add("province", T.StringType())
+    .add("city", T.StringType())
+    .add("epoch", T.LongType())
+)
+LOGIN = (
+    T.StructType()
+    .add("user_id", T.LongType())
+    .add("ip", T.StringType())
+    .add("status", T.StringType())
+    .add("epoch", T.LongType())
+)
+ORDER = (
+    T.StructType()
+    .add("order_id", T.LongType())
+    .add("event_type", T.StringType())
+    .add("tx_id", T.StringType())
+    .add("epoch", T.LongType())
+)
+RECEIPT = (
+    T.StructType()
+    .add("tx_id", T.StringType())
+    .add("pay_channel", T.StringType())
+    .add("epoch", T.LongType())
+)
