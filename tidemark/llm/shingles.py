@@ -67,14 +67,16 @@ class Bands:
         if band not in self.schemes:
             top, j = self.tops[band], self.percent
             k = top * (100 - j) * (100 + j) // ((100 + j) * j)
-            first = int(0.7 * k) + 2 if k else 1
+            first = int(0.8 * k) + 2 if k else 1
             edges = [(i << 64) // (first * SUB) for i in range(1, first * SUB)]
-            self.schemes[band] = k // (DROP + 1), first, np.array(edges, np.uint64)
+            self.schemes[band] = k, first, np.array(edges, np.uint64)
         return self.schemes[band]
 
 
 #: Which second-level partitions each enumerated subset keeps.
 KEPT = np.array([[i in kept for i in range(SUB)] for kept in combinations(range(SUB), SUB - DROP)])
+#: Subsets that hold one given partition, and so change with one difference.
+HOLDING = int(KEPT[:, 0].sum())
 
 
 def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, int]:
@@ -83,7 +85,7 @@ def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, int]:
     running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(hashes + np.uint64(1)), dtype=np.uint64)])
     unsure = False
     for band in bands.of(size):
-        bad, first, edges = bands.scheme(band)
+        k, first, edges = bands.scheme(band)
         at = np.concatenate([[0], np.searchsorted(hashes, edges), [size]])
         filled = (at[1:] > at[:-1]).reshape(first, SUB)
         sums = (running[at[1:]] - running[at[:-1]]).reshape(first, SUB)
@@ -91,7 +93,9 @@ def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, int]:
         values = np.stack([sums[:, kept].sum(axis=1, dtype=np.uint64) for kept in KEPT], axis=1)
         place = np.arange(first * len(KEPT), dtype=np.uint64).reshape(first, len(KEPT)) + np.uint64(band << 40)
         out.append(_mix(values + _mix(place + np.uint64(1)))[projected])
-        sure = int(projected.all(axis=1).sum()) - bad
+        # Of the first-level partitions at most k / (DROP + 1) have more than DROP differences; and each difference
+        # changes at most HOLDING signatures. The rest is shared.
+        sure = max(int(projected.all(axis=1).sum()) - k // (DROP + 1), int(projected.sum()) - k * HOLDING)
         unsure |= sure < 1
         need = min(need, max(1, sure))
     if unsure:  # too many empty partitions for the guarantee: every shingle is a signature as well
@@ -134,8 +138,8 @@ def _sign(words: int, percent: int, schema: pa.Schema):
 
 
 def histogram(shingles: np.ndarray) -> bytes:
-    """Counts (255: that or more) over equal ranges of the hash domain, about four shingles to a range."""
-    bits = min(12, max(6, (len(shingles) // 4).bit_length()))
+    """Counts (255: that or more) over equal ranges of the hash domain, about one shingle to a range."""
+    bits = min(14, max(6, len(shingles).bit_length()))
     counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
@@ -207,7 +211,9 @@ def ngram_jaccard(
     1. One pass over the texts gives every set's size and 64-bit digest, and its PartEnum signatures once per digest
        and task. Documents with equal digests are one class; all that follows works on classes.
     2. Signatures of one class only go; so do classes with fewer shared signatures than any similar set would share
-       with them (a bound that follows from the number of non-empty partitions, so nothing similar is lost).
+       with them (``need``, which follows from the number of non-empty partitions). Of the others each leaves out its
+       ``need - 1`` most frequent signatures: two sets that share ``need`` still share one of the rest, as all take the
+       same order. Passages that many documents share so seldom bring them together, and nothing similar is lost.
     3. In every signature's group each member is paired with one leader; repeated pairs are removed, and so are those
        whose hash histograms rule out enough common shingles; the rest is verified on the whole sets. Groups that are one component by then are done. Others get other leaders, and in the
        end the remaining pairs across components are verified too, so that no link is missed.
@@ -232,9 +238,15 @@ def ngram_jaccard(
 
     classes = docs.where("size > 0 AND doc_id IS NOT NULL").groupBy("node")
     classes = classes.agg(F.min("doc_id").alias("rep"), F.max("size").alias("size"), F.max("need").alias("need"))
-    enough = shared.groupBy("node").agg(F.count("*").alias("got")).join(classes, "node").where("got >= need")
-    enough = materialise(enough.select("node", "rep", "size"), "enough")
-    asked = materialise(enough.select(F.col("rep").alias("doc_id")), "asked")
+    own = Window.partitionBy("node")
+    counted = shared.withColumn("often", F.count("*").over(group)).join(classes, "node")
+    counted = counted.withColumn("got", F.count("*").over(own))
+    counted = counted.withColumn("place", F.row_number().over(own.orderBy(F.desc("often"), "sig")))
+    rare = counted.where("got >= need AND place >= need")
+    rare = rare.withColumn("low", F.min("node").over(group)).withColumn("high", F.max("node").over(group))
+    member = materialise(rare.where("low <> high").select("sig", "node", "size", "rep"), "members")
+    asked = materialise(member.select(F.col("rep").alias("doc_id")).distinct(), "asked")
+    member = member.drop("rep").withColumn("component", F.col("node"))
     schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("hist", pa.binary()), ("shingles", pa.binary())])
     sets = rows.join(asked, "doc_id", "left_semi")
     sets = sets.mapInArrow(_sets(words, schema), "node long, size long, hist binary, shingles binary")
@@ -255,8 +267,7 @@ def ngram_jaccard(
         possible = beside(materialise(possible, "possible"), "shingles")
         return possible.mapInArrow(_verify(percent, pair), "a long, b long").distinct()
 
-    # The members of groups that are not yet one component, as of the last turn.
-    member = shared.join(enough, "node").withColumn("component", F.col("node"))
+    # From turn to turn only the members of groups that are not yet one component go on.
     edges, labels, tried = None, None, None
     for turn in range(4):
         if labels is not None:
