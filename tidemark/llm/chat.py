@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -89,25 +88,40 @@ def _numbered(batches):
         yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "part", "pos"])
 
 
-def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+def _by_runs(keys: tuple[str, ...], one, schema: pa.Schema):
+    """``one`` on every run of rows with equal keys of a sorted partition; a run is all that is held."""
+
+    def run(batches):
+        held, out = [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and any(row[k] != held[0][k] for k in keys):
+                    out += one(held)
+                    held = []
+                held.append(row)
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema)
+                out = []
+        if held:
+            yield pa.RecordBatch.from_pylist(one(held), schema)
+
+    return run
+
+
+def _summarise(rows: list[dict]) -> list[dict]:
     """One row per chunk of a conversation: cost and new turns for every entry and exit."""
-    pdf = pdf.sort_values("pos")
-    roles = [_number(r) for r in pdf["role"]]
+    roles = [_number(r["role"]) for r in rows]
     table = [paths(roles, entry)[:2] for entry in STATES]
-    out = pdf.head(1)[["conv", "part"]].copy()
-    out["costs"] = [[c for costs, _ in table for c in costs]]
-    out["turns"] = [[t for _, turns in table for t in turns]]
-    return out
+    costs, turns = ([x for row in table for x in row[i]] for i in (0, 1))
+    return [{"conv": rows[0]["conv"], "part": rows[0]["part"], "costs": costs, "turns": turns}]
 
 
-def _link(pdf: pd.DataFrame) -> pd.DataFrame:
+def _link(rows: list[dict]) -> list[dict]:
     """Entry, exit and first turn number of every chunk of one conversation; chunks are as few as partitions."""
-    pdf = pdf.sort_values("part")
-    matrices = [np.array(c, float).reshape(4, 4) for c in pdf["costs"]]
     forward, back = np.full(4, math.inf), []
     forward[0] = 0
-    for matrix in matrices:
-        total = forward[:, None] + matrix
+    for row in rows:
+        total = forward[:, None] + np.array(row["costs"], float).reshape(4, 4)
         back.append(total.argmin(axis=0))
         forward = total.min(axis=0)
     state = min(FINAL, key=lambda s: (forward[s], s))
@@ -115,12 +129,11 @@ def _link(pdf: pd.DataFrame) -> pd.DataFrame:
     for choice in reversed(back):
         exits.append(int(choice[exits[-1]]))
     exits = exits[::-1]
-    out = pdf[["conv", "part"]].copy()
-    out["entry"], out["leave"] = exits[:-1], exits[1:]
-    turns = [int(np.array(t).reshape(4, 4)[a, b]) for t, a, b in zip(pdf["turns"], exits[:-1], exits[1:], strict=True)]
-    out["base"] = np.cumsum([0, *turns[:-1]])
-    out["last"] = [False] * (len(out) - 1) + [True]
-    out["total_cost"] = float(forward[state])
+    out, base = [], 0
+    for i, (row, entry, leave) in enumerate(zip(rows, exits[:-1], exits[1:], strict=True)):
+        last = i == len(rows) - 1
+        out.append({"c": row["conv"], "p": row["part"], "entry": entry, "leave": leave, "base": base, "last": last})
+        base += row["turns"][4 * entry + leave]
     return out
 
 
@@ -128,30 +141,29 @@ def _head(role: int) -> str:
     return f"<|im_start|>{ROLES[role - 1]}\n"
 
 
-def _repair(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("pos")
-    roles = [_number(r) for r in pdf["role"]]
-    first = pdf.iloc[0]
-    choices = paths(roles, int(first["entry"]))[2]
-    state, taken = int(first["leave"]), []
+def _repair(rows: list[dict]) -> list[dict]:
+    first = rows[0]
+    choices = paths([_number(r["role"]) for r in rows], first["entry"])[2]
+    state, taken = first["leave"], []
     for choice in reversed(choices):
         taken.append(choice[state])
         state = choice[state][0]
-    turn, rows = int(first["base"]), []
-    for (came, role, cost, new, action, inserted), text in zip(reversed(taken), pdf["text"], strict=True):
-        text = text or ""
+    turn, out = first["base"], []
+    for (came, role, cost, new, action, inserted), row in zip(reversed(taken), rows, strict=True):
+        text = row["text"] or ""
         if action == "merge":
             rendered = "\n" + text
         else:
             rendered = "".join(_head(i) + "<|im_end|>\n" for i in inserted) + _head(role) + text
             rendered = ("<|im_end|>\n" if came else "") + rendered
         turn += new
-        rows.append((turn - 1, ROLES[role - 1], action, [ROLES[i - 1] for i in inserted], cost, rendered))
+        out.append(
+            {c: row[c] for c in ("conv", "turn", "part", "pos", "role")}
+            | {"out_turn": turn - 1, "repaired_role": ROLES[role - 1], "action": action}
+            | {"inserted": [ROLES[i - 1] for i in inserted], "cost": cost, "rendered": rendered}
+        )
     if first["last"]:
-        rows[-1] = (*rows[-1][:-1], rows[-1][-1] + "<|im_end|>\n")
-    out = pdf[["conv", "turn", "part", "pos", "role"]].copy()
-    for i, name in enumerate(("out_turn", "repaired_role", "action", "inserted", "cost", "rendered")):
-        out[name] = [r[i] for r in rows]
+        out[-1]["rendered"] += "<|im_end|>\n"
     return out
 
 
@@ -188,16 +200,30 @@ def format_chat(
     rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order, "text").drop("h")
     plain = "conv long, turn long, role string, text string"
     rows = materialise(rows.mapInArrow(_numbered, f"{plain}, part int, pos long"), "turns")
-    sums = rows.select("conv", "part", "pos", "role").groupBy("conv", "part").applyInPandas(
-        _summarise, "conv long, part int, costs array<double>, turns array<long>"
+    whole, text = pa.int64(), pa.string()
+    place = [("conv", whole), ("part", pa.int32())]
+    sums_of = pa.schema([*place, ("costs", pa.list_(pa.float64())), ("turns", pa.list_(whole))])
+    links_of = pa.schema(
+        [("c", whole), ("p", pa.int32()), ("entry", pa.int32()), ("leave", pa.int32()), ("base", whole), ("last", pa.bool_())]
+    )
+    fixed_of = pa.schema(
+        [("conv", whole), ("turn", whole), ("part", pa.int32()), ("pos", whole), ("role", text), ("out_turn", whole)]
+        + [("repaired_role", text), ("action", text), ("inserted", pa.list_(text)), ("cost", pa.float64()), ("rendered", text)]
+    )
+    chunk = ("conv", "part")
+    sums = rows.select("conv", "part", "pos", "role").repartition(*chunk).sortWithinPartitions(*chunk, "pos")
+    sums = sums.mapInArrow(
+        _by_runs(chunk, _summarise, sums_of), "conv long, part int, costs array<double>, turns array<long>"
     )
-    links = sums.groupBy("conv").applyInPandas(
-        _link, "conv long, part int, entry int, leave int, base long, last boolean, total_cost double"
+    links = sums.repartition("conv").sortWithinPartitions("conv", "part")
+    links = links.mapInArrow(
+        _by_runs(("conv",), _link, links_of), "c long, p int, entry int, leave int, base long, last boolean"
     )
-    links = materialise(links, "links").select(F.col("conv").alias("c"), F.col("part").alias("p"), "entry", "leave", "base", "last")
+    links = materialise(links, "links")
     joined = rows.join(links, F.expr("conv <=> c AND part = p")).drop("c", "p")
-    out = joined.groupBy("conv", "part").applyInPandas(
-        _repair,
+    joined = joined.repartition(*chunk).sortWithinPartitions(*chunk, "pos")
+    out = joined.mapInArrow(
+        _by_runs(chunk, _repair, fixed_of),
         "conv long, turn long, part int, pos long, role string, out_turn long, repaired_role string, action string, "
         "inserted array<string>, cost double, rendered string",
     )
