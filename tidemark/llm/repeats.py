@@ -118,47 +118,26 @@ def _contexts(length: int, size: int, schema: pa.Schema):
     return run
 
 
-class SuffixArray:
-    """Ranks of all suffixes by their first 7, 14, 28, 56 and 112 bytes; no comparison goes past a text's end."""
-
-    STEPS = (7, 14, 28, 56, 112)
-
-    def __init__(self, texts: list[bytes]):
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        self.n = n = len(data)
-        lengths = np.array([len(t) for t in texts], np.int64)
-        self.end = np.repeat(np.cumsum(lengths), lengths)
-        left = self.end - np.arange(n)
-        self.data = np.concatenate([data, np.zeros(8, np.uint8)])
-        code = np.zeros(n, np.uint64)
-        for i in range(7):
-            code = (code << np.uint64(8)) | np.where(left > i, self.data[i : i + n], 0).astype(np.uint64)
-        code = (code << np.uint64(8)) | np.minimum(left, 7).astype(np.uint64)
-        self.ranks = [self._padded(np.unique(code, return_inverse=True)[1])]
-        for step in self.STEPS[:-1]:
-            rank = self.ranks[-1]
-            after = np.where(left > step, rank[step : step + n], 0)
-            joint = rank[:n] * np.int64(n + 1) + after
-            self.ranks.append(self._padded(np.unique(joint, return_inverse=True)[1]))
-
-    def _padded(self, rank: np.ndarray) -> np.ndarray:
-        return np.concatenate([rank.astype(np.int64) + 1, np.zeros(512, np.int64)])
-
-    def rank(self, step: int, at: np.ndarray) -> np.ndarray:
-        return self.ranks[self.STEPS.index(step)][at]
-
-    def common(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Length of the common prefix of the suffixes at ``p`` and ``q`` (up to 511 bytes)."""
-        room = np.minimum(self.end[p] - p, self.end[q] - q)
-        done = np.zeros(len(p), np.int64)
-        for step in (112, 112, *self.STEPS[::-1]):
-            fits = done + step <= room
-            i, j = np.minimum(p + done, self.n), np.minimum(q + done, self.n)
-            done += np.where(fits & (self.rank(step, i) == self.rank(step, j)), step, 0)
-        for _ in range(6):
-            i, j = np.minimum(p + done, self.n), np.minimum(q + done, self.n)
-            done += (done < room) & (self.data[i] == self.data[j])
-        return done
+def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash of the ``length`` bytes from every position on; those that reach past the end mean nothing."""
+    mixed = np.random.default_rng(3).integers(0, 1 << 64, 256, np.uint64)
+    n, span, power = len(data), 1, mixed[data]
+    whole, done = np.zeros(n, np.uint64), 0
+    while span <= length:
+        raised = np.uint64(pow(0x9E3779B97F4A7C15, span, 1 << 64))
+        if length & span:
+            # The strings of `done` bytes from here on, followed by `span` more.
+            later = power[done:]
+            whole = whole * raised + np.concatenate([later, np.zeros(n - len(later), np.uint64)])
+            done += span
+        power, span = power[: max(0, len(power) - span)] * raised + power[span:], 2 * span
+    return whole
+
+
+def common_prefix(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    differs = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    return int(differs.argmax()) if differs.any() else n
 
 
 def intervals(lcp: list[int], least: int):
@@ -183,38 +162,46 @@ def maximal_repeats(texts: list[bytes], groups: np.ndarray, keys: np.ndarray, lo
     Yields (repeat length, text numbers, begins in the documents). Two texts may overlap in a document: a place counts
     once, in the text that goes on longest. A repeat is maximal if its occurrences don't all have the same byte before
     them.
+
+    The suffix array is built bucket by bucket: suffixes that agree in group and hash of the first ``length`` bytes
+    stand together, and buckets whose suffixes all have the same byte before them are left out at once, as their
+    repeats begin further left. The others are sorted by their bytes, with the common prefixes of neighbours.
     """
-    suffixes = SuffixArray(texts)
+    buffer = b"".join(texts)
+    data = np.frombuffer(buffer, np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
-    begins = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    room = suffixes.end - np.arange(suffixes.n)
-    at = np.flatnonzero(room >= length)
-    group, place = groups[owner[at]], lows[owner[at]] + at - begins[owner[at]]
-    order = np.lexsort((-room[at], place, keys[owner[at]], group))
-    at, group, place = at[order], group[order], place[order]
-    same = (group[1:] == group[:-1]) & (place[1:] == place[:-1]) & (keys[owner[at]][1:] == keys[owner[at]][:-1])
-    keep = np.concatenate([[True], ~same])[: len(at)]
-    at, group = at[keep], group[keep]
-    # Only suffixes that share their first `length` bytes with another one of the group go on.
-    parts = [suffixes.rank(112, np.minimum(at + i, suffixes.n)) for i in (0, 112, 224)]
-    order = np.lexsort((parts[2], parts[1], parts[0], group))
-    at, group = at[order], group[order]
-    if len(at) < 2:
+    ends = np.cumsum(sizes)
+    begins, owner = ends - sizes, np.repeat(np.arange(len(texts)), sizes)
+    at = np.flatnonzero(np.arange(len(data)) + length <= ends[owner])
+    code = window_hashes(data, length)[at] ^ (groups[owner[at]].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    order = np.argsort(code)
+    at, code = at[order], code[order]
+    same = code[1:] == code[:-1]
+    first = np.flatnonzero(same & ~np.concatenate([[False], same[:-1]]))
+    last = np.flatnonzero(same & ~np.concatenate([same[1:], [False]])) + 1
+    if not len(first):
         return
-    lcp = np.where(group[1:] == group[:-1], suffixes.common(at[:-1], at[1:]), 0)
-    joined = lcp >= length
-    first = np.flatnonzero(joined & ~np.concatenate([[False], joined[:-1]]))
-    last = np.flatnonzero(joined & ~np.concatenate([joined[1:], [False]])) + 1
-    before = np.where(at == begins[owner[at]], -1 - np.arange(len(at)), suffixes.data[at - 1].astype(np.int64))
-    for a, b in zip(first.tolist(), last.tolist(), strict=True):
-        left = before[a : b + 1]
-        if left[0] >= 0 and (left == left[0]).all():
+    before = np.where(at == begins[owner[at]], -1 - np.arange(len(at)), data[at - 1].astype(np.int64))
+    cuts = np.stack([first, last + 1], axis=1).ravel()
+    padded = np.append(before, 0)
+    low, high = np.minimum.reduceat(padded, cuts)[::2], np.maximum.reduceat(padded, cuts)[::2]
+    diverse = (low < 0) | (low != high)
+    for a, b in zip(first[diverse].tolist(), last[diverse].tolist(), strict=True):
+        longest = {}
+        for p, left in zip(at[a : b + 1].tolist(), before[a : b + 1].tolist(), strict=True):
+            text = int(owner[p])
+            place = int(keys[text]), int(lows[text] + p - begins[text])
+            known = longest.get(place)
+            if known is None or ends[text] - p > len(known[0]):
+                longest[place] = (buffer[p : int(ends[text])], text, place[1], left)
+        if len(longest) < 2:
             continue
-        for depth, i, j in intervals(lcp[a:b].tolist(), length):
-            if left[i] < 0 or (left[i : j + 1] != left[i]).any():
-                found = at[a + i : a + j + 1]
-                yield depth, owner[found], lows[owner[found]] + found - begins[owner[found]]
+        entries = sorted(longest.values())
+        lcp = [common_prefix(x[0], y[0]) for x, y in zip(entries[:-1], entries[1:], strict=True)]
+        for depth, i, j in intervals(lcp, length):
+            lefts = {e[3] for e in entries[i : j + 1]}
+            if len(lefts) > 1 or min(lefts) < 0:
+                yield depth, np.array([e[1] for e in entries[i : j + 1]]), np.array([e[2] for e in entries[i : j + 1]])
 
 
 def _spans(length: int, schema: pa.Schema):
