@@ -76,8 +76,10 @@ def _examples(templates: DataFrame, lines: DataFrame) -> DataFrame:
     # The last example, of a word that no text holds, stands for the unknown class on an empty corpus.
     blank = templates.limit(1).select(F.lit(UNKNOWN).alias("family"), F.array(F.lit("")).alias("words"))
     known = templates.select("family", "words").union(windows).union(blank)
-    rest = lines.where(F.size("words") >= 2).select("line", "words").distinct()
-    rest = rest.orderBy(F.xxhash64("line"), "line").limit(SAMPLE)
+    # Only hashes are told apart over the corpus; the few lines that they stand for are looked up again.
+    hashed = lines.where(F.size("words") >= 2).select("line", F.xxhash64("line").alias("hash"))
+    smallest = hashed.select("hash").distinct().orderBy("hash").limit(SAMPLE)
+    rest = hashed.join(F.broadcast(smallest), "hash").select("line").distinct().withColumn("words", words_of(F.col("line")))
     like = templates.select(F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram")).distinct()
     shared = rest.select("line", "words", F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram"))
     shared = shared.join(F.broadcast(like.withColumn("hit", F.lit(1))), "gram", "left")
