@@ -77,6 +77,33 @@ def test_vectors_equal_brute_force(spark):
     assert (unnamed["n_links"], unnamed["component_id"]) == (0, None)
 
 
+def test_vectors_of_dense_groups_with_a_single_link_between(spark):
+    """Two groups in which all are linked, and one pair of vectors that bridges them: 12 times."""
+    rng = np.random.default_rng(11)
+    turned = lambda x, y, degrees: np.cos(np.radians(degrees)) * x + np.sin(np.radians(degrees)) * y
+    found, bridges = [], []
+    for _ in range(12):
+        x, y = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        for centre, other in ((0, 26), (26, 0)):
+            for _ in range(150):
+                noise = rng.standard_normal(32)
+                noise -= (noise @ x) * x + (noise @ y) * y
+                found.append(turned(turned(x, y, centre), noise / np.linalg.norm(noise), 5))
+            bridges.append(len(found))
+            found.append(turned(x, y, centre + (5 if other > centre else -5)))
+    ids = rng.permutation(len(found))
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, found, strict=True)]
+    unit = np.array(found) / np.linalg.norm(found, axis=1, keepdims=True)
+    i, j = np.nonzero(np.triu(unit @ unit.T >= 0.95, 1))
+    links = list(zip(ids[i].tolist(), ids[j].tolist(), strict=True))
+    assert all((p, q) in set(zip(i.tolist(), j.tolist(), strict=True)) for p, q in zip(bridges[::2], bridges[1::2], strict=True))
+    labels = smallest_reachable(ids.tolist(), links)
+    assert len(set(labels.values())) == 12
+    count = Counter(x for link in links for x in link)
+    got = near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {n: (count[n], labels[n]) for n in ids.tolist()}
+
+
 def test_vectors_repeated_rows_and_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
     twice = near_duplicate_vectors(spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [-1.0, 0.0])], schema)).collect()

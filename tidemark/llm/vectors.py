@@ -54,6 +54,10 @@ def _pairs(a, b, sim) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "sim": sim})
 
 
+def _no_pairs() -> pd.DataFrame:
+    return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "sim": pd.Series(dtype="float64")})
+
+
 def _compare_in_order(floor: float):
     """Each row with the ``REACH`` rows before it in its bucket; only those rows are kept between batches."""
 
@@ -78,16 +82,36 @@ def _compare_in_order(floor: float):
 
 
 def _local_join(floor: float):
-    """Pairs from different components among the neighbours of one vector, in chunks of bounded size."""
+    """Pairs from different components among the neighbours of one vector, 256 rows at a time against all later ones."""
 
     def run(pdf):
-        found = [pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "sim": pd.Series(dtype="float64")})]
+        found = [_no_pairs()]
+        unit, rep, component = _units(pdf["vec"]), pdf["u"].to_numpy(), pdf["component"].to_numpy()
         for begin in range(0, len(pdf), 256):
-            part = pdf.iloc[begin : begin + 256]
-            unit, rep = _units(part["vec"]), part["u"].to_numpy()
-            sim, component = unit @ unit.T, part["component"].to_numpy()
-            i, j = np.nonzero(np.triu((sim >= floor) & (component[:, None] != component), 1))
-            found.append(_pairs(rep[i], rep[j], sim[i, j]))
+            sim = unit[begin : begin + 256] @ unit[begin:].T
+            apart = component[begin : begin + 256, None] != component[begin:]
+            i, j = np.nonzero(np.triu((sim >= floor) & apart, 1))
+            found.append(_pairs(rep[begin + i], rep[begin + j], sim[i, j]))
+        return pd.concat(found, ignore_index=True)
+
+    return run
+
+
+def _block_links(threshold: float):
+    """For every guest of a block its closest vector of the host's block, if that is a link."""
+
+    def run(pdf):
+        hosts, guests = pdf[pdf["host_side"]], pdf[~pdf["host_side"]]
+        found = [_no_pairs()]
+        if len(hosts) and len(guests):
+            unit, rep = _units(hosts["vec"]), hosts["rep"].to_numpy()
+            for begin in range(0, len(guests), 512):
+                part = guests.iloc[begin : begin + 512]
+                sim = _units(part["vec"]) @ unit.T
+                best = sim.argmax(axis=1)
+                top = sim[np.arange(len(part)), best]
+                hit = np.flatnonzero(top >= threshold)
+                found.append(_pairs(part["rep"].to_numpy()[hit], rep[best[hit]], top[hit]))
         return pd.concat(found, ignore_index=True)
 
     return run
@@ -117,26 +141,70 @@ def _block_counts(threshold: float):
     return run
 
 
-def _lists(pairs: DataFrame, k: int) -> DataFrame:
-    """The ``k`` nearest known neighbours ``u`` of every vector ``v``."""
+def _with_components(pairs: DataFrame, labels: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """Pairs with the components of both ends (``c_`` columns); a vector without links is its own component."""
+    for side in (a, b):
+        of = labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+        pairs = pairs.join(of, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
+    return pairs
+
+
+def _lists(pairs: DataFrame, labels: DataFrame, k: int) -> DataFrame:
+    """The nearest known neighbours ``u`` of every vector ``v``: ``k`` of its own component and ``k`` of others."""
     both = pairs.select(F.col("a").alias("v"), F.col("b").alias("u"), "sim")
     both = both.union(pairs.select(F.col("b").alias("v"), F.col("a").alias("u"), "sim"))
-    order = Window.partitionBy("v").orderBy(F.desc("sim"), "u")
+    both = _with_components(both, labels, "v", "u").withColumn("apart", F.col("c_v") != F.col("c_u"))
+    order = Window.partitionBy("v", "apart").orderBy(F.desc("sim"), "u")
     return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _borders(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Components with a known pair between them: the larger as ``host``, the other as ``guest``, and their sizes.
+
+    Two single vectors are left out, as their pair is all there is to compare.
+    """
+    sizes = labels.groupBy("component").agg(F.count("*").alias("m"))
+    found = _with_components(pairs.select("a", "b"), labels).where("c_a <> c_b").select("c_a", "c_b").distinct()
+    for side in ("c_a", "c_b"):
+        found = found.join(sizes.select(F.col("component").alias(side), F.col("m").alias(f"m_{side}")), side, "left")
+        found = found.withColumn(f"m_{side}", F.coalesce(f"m_{side}", F.lit(1).cast("long")))
+    a, b = F.struct(F.col("m_c_a").alias("m"), F.col("c_a").alias("c")), F.struct(F.col("m_c_b").alias("m"), F.col("c_b").alias("c"))
+    found = found.withColumn("host", F.greatest(a, b)).withColumn("guest", F.least(a, b)).where("host.m > 1")
+    return found.select(
+        F.col("host.c").alias("host"), F.col("host.m").alias("host_m"), F.col("guest.c").alias("guest"), F.col("guest.m").alias("guest_m")
+    ).distinct()
+
+
+def _links_across(borders: DataFrame, classes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """Links between hosts and guests: all vectors of a host with all of its guests, block by block."""
+    known = labels.withColumnRenamed("node", "rep")
+    member = classes.select("rep", "vec").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    size = borders.groupBy("host").agg(F.max("host_m").alias("host_m"), F.sum("guest_m").alias("guests"))
+    for name, of in (("p_blocks", "host_m"), ("q_blocks", "guests")):
+        size = size.withColumn(name, F.ceil(F.col(of) / BLOCK).cast("int"))
+    size = size.select("host", "p_blocks", "q_blocks")
+    hosts = member.withColumnRenamed("component", "host").join(size, "host")
+    hosts = hosts.withColumn("p", F.pmod(F.xxhash64("rep"), "p_blocks").cast("int"))
+    hosts = hosts.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
+    guests = member.withColumnRenamed("component", "guest").join(borders.select("host", "guest"), "guest").join(size, "host")
+    guests = guests.withColumn("q", F.pmod(F.xxhash64("rep"), "q_blocks").cast("int"))
+    guests = guests.withColumn("p", F.explode(F.sequence(F.lit(0), F.col("p_blocks") - 1)))
+    columns = ["host", "p", "q", "rep", "vec"]
+    both = hosts.select(*columns, F.lit(True).alias("host_side")).union(guests.select(*columns, F.lit(False).alias("host_side")))
+    return _distinct(both.groupBy("host", "p", "q").applyInPandas(_block_links(threshold), "a long, b long, sim double"))
+
+
 def _distinct(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
-def recall_of(classes: DataFrame, labels: DataFrame, threshold: float, queries: int) -> float:
-    """Share of the true links of ``queries`` vectors (those of smallest id hash) that lie within one component.
+def true_links(classes: DataFrame, among: DataFrame, threshold: float, queries: int) -> DataFrame:
+    """All links of ``queries`` vectors of ``among`` (column ``rep``), those of smallest id hash.
 
     The queries are compared with all rows; their number is the parameter, so they may travel with the tasks.
     """
-    asked = classes.orderBy(F.xxhash64("rep"), "rep").limit(queries).select("rep", "vec").collect()
-    if not asked:
-        return 1.0
+    chosen = among.select("rep").distinct().orderBy(F.xxhash64("rep"), "rep").limit(queries)
+    asked = classes.select("rep", "vec").join(chosen, "rep", "left_semi").collect()
     by_dim: dict[int, list] = {}
     for row in asked:
         by_dim.setdefault(len(row["vec"]), []).append(row)
@@ -147,15 +215,22 @@ def recall_of(classes: DataFrame, labels: DataFrame, threshold: float, queries:
             for dim, part in pdf.groupby(pdf["vec"].map(len)):
                 if dim in asked:
                     rep, unit = asked[dim]
-                    i, j = np.nonzero(_units(part["vec"]) @ unit.T >= threshold)
-                    found = _pairs(part["rep"].to_numpy()[i], rep[j], 1.0)
+                    sim = _units(part["vec"]) @ unit.T
+                    i, j = np.nonzero(sim >= threshold)
+                    found = _pairs(part["rep"].to_numpy()[i], rep[j], sim[i, j])
                     yield found[found["a"] != found["b"]]
 
-    true = _distinct(classes.select("rep", "vec").mapInPandas(run, "a long, b long, sim double"))
-    of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-    joined = true.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    row = joined.agg(F.count("*").alias("n"), F.count_if(F.col("c_a") == F.col("c_b")).alias("got")).first()
-    return row["got"] / row["n"] if row["n"] else 1.0
+    return _distinct(classes.select("rep", "vec").mapInPandas(run, "a long, b long, sim double"))
+
+
+def _recall(links: DataFrame, labels: DataFrame, seeded: DataFrame) -> float:
+    """Share of links that lie within one component; the lower of that of all links and of those that seeding missed."""
+    before = _with_components(links, seeded).select("a", "b", (F.col("c_a") != F.col("c_b")).alias("late"))
+    got = _with_components(before, labels).withColumn("got", F.col("c_a") == F.col("c_b"))
+    row = got.agg(
+        F.count("*").alias("n"), F.count_if("got").alias("got"), F.count_if("late").alias("late"), F.count_if(F.col("late") & F.col("got")).alias("late_got")
+    ).first()
+    return min(row["got"] / row["n"] if row["n"] else 1.0, row["late_got"] / row["late"] if row["late"] else 1.0)
 
 
 def near_duplicate_vectors(
@@ -175,13 +250,16 @@ def near_duplicate_vectors(
     2. ``tables`` seeding tables put vectors into buckets by the signs of random projections; inside a bucket each is
        compared with its neighbours along one more projection. Bucket width follows the number of classes. A range
        partitioning splits full buckets.
-    3. Descent: among the neighbours of a vector, pairs from different components are compared, round after round,
-       until none of them is a link. Edges wider than twice the threshold's angle are not followed.
-    4. Lists are saturated when the k-th neighbour is still a link; the lists of such vectors, and of all others that
-       have a link, are enlarged to their whole component: its vectors are compared block by block in double
-       precision, and only counts leave a task.
-    5. ``audit`` vectors are compared with all rows. While fewer than ``target`` of their links lie within a
-       component, the number of tables is doubled (at most ``passes`` times) and steps 2 to 4 go on.
+    3. Descent: among the neighbours of a vector (``k`` of its own component, ``k`` of others, so that a dense group
+       does not fill the list), pairs from different components are compared, round after round, until none of them is
+       a link. Edges wider than twice the threshold's angle are not followed. Lists are saturated when the k-th
+       neighbour is still a link; so components with any known pair between them are then compared as wholes, block by
+       block, and while that gives a link the descent goes on.
+    4. ``audit`` vectors, and as many of those with a known pair across the components of seeding, are compared with all
+       rows. While fewer than ``target`` of their links, or of those links that seeding had left across components, lie
+       within a component, the missed ones are added, the number of tables is doubled (at most ``passes`` times) and
+       steps 2 and 3 go on. If the last pass misses the target, the operator raises ``RuntimeError``.
+    5. All vectors of a component are compared block by block in double precision, and only counts leave a task.
 
     Vectors that are null, zero, or hold null or non-finite components, and rows with a null id, link with nothing;
     so do vectors of different lengths with each other. A row without links is its own component. Repeated rows count
@@ -198,27 +276,48 @@ def near_duplicate_vectors(
     bits = max(2, math.ceil(math.log2(max(1, classes.count()) / BUCKET + 1)))
     vec_of = classes.select(F.col("rep").alias("u"), "vec")
 
-    known, first = None, 0
-    for _ in range(passes):
+    known, tried, first = None, None, 0
+    for last in range(passes):
         seeds = classes.mapInPandas(
             _seed_rows(first, tables, bits), "bucket long, place double, rep long, vec array<double>"
         )
         ordered = seeds.repartitionByRange("bucket", "place").sortWithinPartitions("bucket", "place")
         pairs = ordered.mapInPandas(_compare_in_order(floor), "a long, b long, sim double")
         known = materialise(_distinct(pairs if known is None else known.union(pairs)), "graph")
+        seeded = None
         while True:
             labels = materialise(connected_components(known.where(F.col("sim") >= threshold)), "labels")
-            lists = _lists(known, k).select("v", "u")
+            if seeded is None:
+                seeded, seeds_known = labels, known
+            lists = _lists(known, labels, k).select("v", "u")
             near = lists.union(lists.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct()
             near = near.join(vec_of, "u").join(labels.withColumnRenamed("node", "u"), "u", "left")
             near = near.select("v", "u", "vec", F.coalesce("component", "u").alias("component"))
             joined = near.groupBy("v").applyInPandas(_local_join(floor), "a long, b long, sim double")
             joined = materialise(_distinct(joined), "descent")
             known = known.union(joined)
-            if joined.where(F.col("sim") >= threshold).isEmpty():
+            if not joined.where(F.col("sim") >= threshold).isEmpty():
+                continue
+            # Components only grow, so that smallest id and size tell what was compared before.
+            borders = _borders(known, labels)
+            if tried is not None:
+                borders = borders.join(tried, borders.columns, "left_anti")
+            borders = materialise(borders, "borders")
+            tried = borders if tried is None else tried.union(borders)
+            across = materialise(_links_across(borders, classes, labels, threshold), "across")
+            if across.isEmpty():
                 break
-        if recall_of(classes, labels, threshold, audit) >= target:
+            known = known.union(across)
+        late = _with_components(seeds_known, seeded).where("c_a <> c_b")
+        late = late.select(F.explode(F.array("a", "b")).alias("rep"))
+        links = true_links(classes, classes, threshold, audit).union(true_links(classes, late, threshold, audit)).distinct()
+        links = materialise(links, "audit")
+        recall = _recall(links, labels, seeded)
+        if recall >= target:
             break
+        if last == passes - 1:
+            raise RuntimeError(f"near-duplicate vectors: the audit found {recall:.4f} of the links, {target} were asked for")
+        known = known.union(links)
         first, tables = first + tables, 2 * tables
 
     sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("m")), "component")
