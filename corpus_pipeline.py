@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.common import materialise
 from tidemark.llm.packing import pack
@@ -30,9 +31,25 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest id stays; rows without an id stay all."""
-    groups = ngram_jaccard(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(docs.columns)
+    """Of every group of near copies one row stays, that with the smallest id (a null id comes last).
+
+    Rows are told apart by a 64-bit hash of all that they hold, not by id: repeated ids with different texts are judged
+    apart, rows without an id like all others, and of equal rows one stays. Rows without words have no copies.
+    """
+    held = [x for i, c in enumerate(docs.columns) for x in (F.lit(i), F.col(f"`{c}`").cast("string"))]
+    rows = docs.withColumn("_row", F.xxhash64(*held))
+    groups = ngram_jaccard(rows.select("_row", "text"), "_row").where("n_shingles > 0")
+    ids = rows.groupBy("_row").agg(F.min("doc_id").alias("doc_id"))
+    groups = groups.groupBy("_row").agg(F.min("component_id").alias("component_id")).join(ids, "_row")
+    groups = materialise(groups, "row-groups")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = groups.groupBy("component_id").agg(F.min_by("_row", order).alias("_row"))
+    gone = groups.join(first, "_row", "left_anti").select("_row")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # Asking for the first row lets Spark cut every group of equal rows before the shuffle.
+    once = Window.partitionBy("_row").orderBy("doc_id")
+    left = rows.where(worded).withColumn("_n", F.row_number().over(once)).where("_n = 1").join(gone, "_row", "left_anti")
+    return left.select(docs.columns).union(docs.where(~worded))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import repeats, shingles
 from tidemark.llm.components import connected_components
 from tidemark.llm.repeats import intervals, remove_repeats
@@ -176,6 +177,21 @@ def test_jaccard_null_ids_repeats_and_no_rows(spark):
     assert ngram_jaccard(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_near_copies_leave_one_row_of_every_group(spark):
+    words = lambda name, n=80: [f"{name}{i}" for i in range(n)]
+    twice, other, unnamed = words("twice"), words("other"), words("unnamed")
+    rows = [(1, twice), (1, twice), (2, [*twice[:-1], "x"]), (1, other), (None, unnamed), (None, unnamed), (None, [*unnamed, "y"])]
+    rows += [(3, words("named")), (None, words("named")), (4, []), (4, []), (5, words("alone")), (None, None)]
+    rows = [(d, None if w is None else " ".join(w), "en") for d, w in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = corpus_pipeline.near_copies(spark, df, "").collect()
+    assert Counter(tuple(r) for r in found if r["doc_id"] is not None) == Counter([rows[0], rows[3], rows[7], rows[9], rows[10], rows[11]])
+    (kept, blank) = sorted((r["text"] or "" for r in found if r["doc_id"] is None), reverse=True)
+    assert blank == "" and kept in (rows[4][1], rows[6][1])
+    left = corpus_pipeline.materialise(spark.createDataFrame(found, df.schema), "near-copies")
+    assert {r["n_removed"] for r in remove_repeats(left).collect()} == {0}
+
+
 def test_signatures_meet_in_every_similar_pair():
     """The guarantee itself: similar sets share at least as many signatures as each asks for."""
     rng = np.random.default_rng(9)
