@@ -6,6 +6,7 @@ import base64
 import hashlib
 import itertools
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -309,6 +310,24 @@ def test_licences_by_paragraph(spark):
     assert scan_licences(df.limit(0)).collect() == []
 
 
+def test_licences_of_whole_and_wrapped_paragraphs(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    notices = {
+        "mit": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
+        "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "gpl-2.0": gpl.format(2).replace("software:", "software;"),
+        "gpl-3.0": gpl.format(3),
+    }
+    prose = "\n".join(f"Row {i} speaks of rivers, fields and number {i * 31}." for i in range(20))
+    rows, want = [], []
+    for i, (family, notice) in enumerate(notices.items()):
+        wrapped = "\n".join(f" * {x}" for x in textwrap.wrap(notice, 75))
+        rows += [(3 * i, f"{prose}\n{notice}"), (3 * i + 1, f"{prose}\n{wrapped}\n{prose}"), (3 * i + 2, f"Title\n\n{wrapped}")]
+        want += [(3 * i, 20, family), (3 * i + 1, 20, family), (3 * i + 2, 2, family)]
+    found = scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["family"]) for r in found if r["confirmed"]) == want
+
+
 # --- archive ---------------------------------------------------------------------------------------------------------
 
 

@@ -11,8 +11,11 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-#: Usual notices and opening words of licence families.
+from .common import materialise
+
+#: Usual short notices, opening words, and whole standard paragraphs of licence families.
 TEMPLATES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
@@ -40,6 +43,13 @@ TEMPLATES = (
     ("cc0", "Released into the public domain under CC0 1.0 Universal."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 )
 UNKNOWN = "unknown"
 #: Lines of the corpus, of smallest hash, that stand for the unknown class in training.
@@ -132,46 +142,76 @@ def scan_licences(
     least_probability: float = 0.5,
     least_overlap: float = 0.5,
 ) -> DataFrame:
-    """One row per paragraph (line) that the classifier gives to a licence family: id, ``paragraph`` (line number from
-    0), ``line``, ``family``, ``probability``, ``template`` (the closest of the family), ``overlap``, ``confirmed``.
+    """One row per paragraph that the classifier gives to a licence family: id, ``paragraph`` (number of its first line,
+    from 0), ``line`` (its lines), ``family``, ``probability``, ``template`` (the closest of the family), ``overlap``,
+    ``confirmed``.
 
     Every line of every text is scored: its 2-grams and 3-grams meet the weights of the trained classifier in a join
     whose small side holds the grams of the templates and nothing that grows with the corpus; sums per line give the
-    logits, of which the unknown class is one. ``overlap`` is the share of the template's and the line's grams that
-    both have (Jaccard); a prediction is confirmed from ``least_overlap`` on.
+    logits, of which the unknown class is one. Successive lines of which at least a third of the grams is in a template
+    make a paragraph, so that wrapped notices come together without the text around them; paragraphs of several lines
+    are scored once more as wholes. ``overlap`` is the share of the template's grams that the paragraph has; a
+    prediction is confirmed from ``least_overlap`` on.
+
+    A line that is confirmed by itself stands for its paragraph, if the family is the same. Other lines of a confirmed
+    paragraph, and unconfirmed paragraphs with a line of their own in the result, give no row. Successive lines that
+    hold whole wrapped notices of two families give the likelier one.
 
     Null and empty texts have no lines; repeated rows are scored each for itself, but equal (id, line number, line)
     triples give one row. Other columns are ignored.
     """
-    lines = df.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n", -1)).alias("paragraph", "line"))
+    text = F.col(text_col).cast("string")
+    lines = df.select(
+        F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), F.posexplode(F.split(text, "\n", -1)).alias("paragraph", "line")
+    )
     lines = lines.withColumn("words", words_of(F.col("line")))
     weights, bias, temperature = train(lines)
     families = list(bias)
-
-    grams = lines.select("id", "paragraph", "line", F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram"))
-    hits = grams.join(F.broadcast(weights), "gram")
-    summed = hits.groupBy("id", "paragraph", "line").agg(*[F.sum(F.get("weights", F.lit(i))).alias(f"s{i}") for i in range(len(families))], F.collect_set("gram").alias("grams"))
     logits = F.array(*[(F.col(f"s{i}") + bias[f]) / temperature for i, f in enumerate(families)])
-    scored = summed.withColumn("logits", logits).withColumn("top", F.array_max("logits"))
-    total = F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
-    scored = scored.withColumn("probability", 1 / total)
     names = F.array(*[F.lit(f) for f in families])
-    scored = scored.withColumn("family", F.element_at(names, F.array_position("logits", F.col("top")).cast("int")))
-    found = scored.where((F.col("family") != UNKNOWN) & (F.col("probability") >= least_probability))
-    found = found.select("id", "paragraph", "line", "family", "probability", "grams")
+
+    def score(units: DataFrame) -> DataFrame:
+        grams = units.select("id", "key", "paragraph", "line", F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram"))
+        hits = grams.join(F.broadcast(weights), "gram")
+        summed = hits.groupBy("id", "key", "paragraph", "line").agg(*[F.sum(F.get("weights", F.lit(i))).alias(f"s{i}") for i in range(len(families))], F.collect_set("gram").alias("grams"))
+        scored = summed.withColumn("logits", logits).withColumn("top", F.array_max("logits"))
+        total = F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
+        scored = scored.withColumn("probability", 1 / total)
+        scored = scored.withColumn("family", F.element_at(names, F.array_position("logits", F.col("top")).cast("int")))
+        known = (F.col("family") != UNKNOWN) & (F.col("probability") >= least_probability)
+        return scored.select("id", "key", "paragraph", "line", "family", "probability", "grams", known.alias("known"))
+
+    own = F.size(F.array_distinct(grams_of(words_of(F.col("line")))))
+    scored = score(lines).withColumn("like", 3 * F.size("grams") >= own)
+    scored = materialise(scored.where(F.col("known") | F.col("like")), "licence-lines")
+    # Lines in succession differ from their place among the lines by the same number.
+    place = F.row_number().over(Window.partitionBy("key").orderBy("paragraph"))
+    runs = scored.where("like").withColumn("island", F.col("paragraph") - place)
+    runs = runs.withColumn("run", F.min("paragraph").over(Window.partitionBy("key", "island")))
+    wrapped = runs.groupBy("id", "key", "run").agg(F.sort_array(F.collect_list(F.struct("paragraph", "line"))).alias("all"))
+    wrapped = wrapped.where(F.size("all") > 1).select("id", "key", F.col("run").alias("paragraph"), F.array_join("all.line", "\n").alias("line"))
+    wrapped = score(wrapped.withColumn("words", words_of(F.col("line")))).where("known")
+    columns = ["id", "key", "paragraph", "line", "family", "probability", "grams", "run", "whole"]
+    alone = scored.where("known").join(runs.select("key", "paragraph", "run"), ["key", "paragraph"], "left")
+    alone = alone.withColumn("run", F.coalesce("run", -1 - F.col("paragraph"))).withColumn("whole", F.lit(False)).select(columns)
+    found = alone.union(wrapped.withColumn("run", F.col("paragraph")).withColumn("whole", F.lit(True)).select(columns))
 
     templates = _templates(df.sparkSession).select(
         "template", "family", F.array_distinct(grams_of(F.col("words"))).alias("wanted")
     )
     matched = found.join(F.broadcast(templates), "family")
-    common = F.size(F.array_intersect("grams", "wanted"))
-    own = F.size(F.array_distinct(grams_of(words_of(F.col("line")))))
-    matched = matched.withColumn("overlap", common / (own + F.size("wanted") - common))
-    best = matched.groupBy("id", "paragraph", "line", "family", "probability").agg(
+    matched = matched.withColumn("overlap", F.size(F.array_intersect("grams", "wanted")) / F.size("wanted"))
+    best = matched.groupBy("id", "key", "paragraph", "line", "family", "probability", "run", "whole").agg(
         F.max(F.struct("overlap", (-F.col("template")).alias("t"))).alias("best")
     )
-    return best.select(
+    best = best.withColumn("confirmed", F.col("best.overlap") >= least_overlap)
+    together = Window.partitionBy("key", "run")
+    best = best.withColumn("by_line", F.collect_set(F.when(~F.col("whole") & F.col("confirmed"), F.col("family"))).over(together))
+    best = best.withColumn("lines", F.count_if(~F.col("whole")).over(together))
+    best = best.withColumn("as_whole", F.max(F.col("whole") & F.col("confirmed")).over(together))
+    stays = F.when(~F.col("whole"), F.col("confirmed") | ~F.col("as_whole"))
+    stays = stays.when(F.col("confirmed"), ~F.array_contains("by_line", F.col("family"))).otherwise(F.col("lines") == 0)
+    return best.where(stays).select(
         F.col("id").alias(id_col), "paragraph", "line", "family", "probability",
-        (-F.col("best.t")).alias("template"), F.col("best.overlap").alias("overlap"),
-        (F.col("best.overlap") >= least_overlap).alias("confirmed"),
-    )
+        (-F.col("best.t")).alias("template"), F.col("best.overlap").alias("overlap"), "confirmed",
+    ).dropDuplicates([id_col, "paragraph", "line"])
