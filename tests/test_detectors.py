@@ -277,3 +277,15 @@ def test_sequence_without_timeouts_and_bad_steps(spark):
         match_sequence(df, "user", "ts", steps[:1], 10)
     with pytest.raises(ValueError):
         match_sequence(df, "user", "ts", [steps[0], Step("y", F.lit(True), "later")], 10)
+
+
+def test_rows_without_a_time_are_kept(spark):
+    from tidemark.operators.detectors import fail_runs, order_pay_status, running_count_per_day
+
+    df = spark.sql("SELECT * FROM VALUES (1, timestamp'2024-01-01 10:00:00', 'fail'), (1, NULL, 'fail'), (1, NULL, 'fail') AS t(k, ts, status)")
+    found = running_count_per_day(df, "k", "ts").collect()
+    assert sorted((r["ts"] is None, r["count"]) for r in found) == [(False, 1), (True, 1), (True, 2)]
+    runs = fail_runs(df, "k", "status", "ts", span=2, min_fails=1).collect()
+    assert len(runs) == 0
+    orders = spark.sql("SELECT 1 AS k, CAST(NULL AS timestamp) AS ts, 'pay' AS kind")
+    assert [r["create_ts"] for r in order_pay_status(orders, "k", "kind", "ts").collect()] == [None]

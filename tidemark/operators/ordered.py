@@ -39,7 +39,7 @@ def over_bins(keys: Sequence[str]):
 def join_bins(rows: DataFrame, bins: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with what is known of their bin; null is a key like any other."""
     renamed = bins.withColumnsRenamed({c: f"_b_{c}" for c in [*keys, BIN]})
-    same = F.col(BIN) == F.col(f"_b_{BIN}")
+    same = F.col(BIN).eqNullSafe(F.col(f"_b_{BIN}"))
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
     return rows.join(renamed, same).drop(*[f"_b_{c}" for c in [*keys, BIN]])
@@ -97,7 +97,7 @@ def with_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str,
     tail = tail.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_n"), F.min_by(ts, "_at").alias("_from"))
     stops = stops.select(*keys, BIN, F.col("_stop").isNotNull().cast("int").alias("_stopped"))
     same = tail.withColumnsRenamed({c: f"_t_{c}" for c in [*keys, BIN]})
-    match = F.col(BIN) == F.col(f"_t_{BIN}")
+    match = F.col(BIN).eqNullSafe(F.col(f"_t_{BIN}"))
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
     bins = stops.join(same, match, "left").drop(*[f"_t_{c}" for c in [*keys, BIN]])
