@@ -109,9 +109,87 @@ RULES = f"""
     FROM failed
 """
 
+MIXING = r"""
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+    ),
+    totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+    weighed AS (
+        SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER] AS weight FROM totals
+    ),
+    levels AS (
+        SELECT *, (1.5 * sum(source_size) OVER () - 2 * (sum(source_size) OVER up - source_size))::DOUBLE
+                  / (sum(weight) OVER () - sum(weight) OVER up + weight)::DOUBLE AS level
+        FROM weighed WINDOW up AS (ORDER BY source_size / weight, source NULLS LAST)
+    ),
+    shared AS (SELECT max(level) AS level FROM levels),
+    targets AS (
+        SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * level)::DOUBLE AS target FROM weighed, shared
+    ),
+    places AS (
+        SELECT doc_id, source, size,
+               sum(size) OVER (PARTITION BY source ORDER BY md5('0:' || doc_id), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS p,
+               sum(size) OVER (PARTITION BY source ORDER BY md5('1:' || doc_id), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS q
+        FROM sized
+    ),
+    quotas AS (
+        SELECT doc_id, size, t.source_size, target, p, q + t.source_size AS q, floor(target + 0.5) AS quota
+        FROM places JOIN targets t ON places.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, size, source_size, target,
+           (greatest(0, least(p + size, quota) - p) + greatest(0, least(q + size, quota) - q))::BIGINT AS taken
+    FROM quotas
+"""
+
+NEGATIVES = """
+    WITH good AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+          AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+        FROM good a JOIN good b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+    ),
+    positives AS (
+        SELECT * FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+    )
+    SELECT p.anchor_id, p.other AS positive_id,
+           (row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other))::INTEGER AS rank,
+           n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+    QUALIFY rank <= 3
+"""
+
+TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""
+    WITH terms AS (SELECT doc_id, unnest({TERMS}) AS term FROM documents),
+    tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM terms GROUP BY ALL),
+    lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+    totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, totals),
+    wanted AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark),
+    scores AS (
+        SELECT item_id, doc_id,
+               sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // totals.terms))))::BIGINT AS score
+        FROM wanted JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals GROUP BY item_id, doc_id
+    )
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op1_embedding_near_dedup": EMBEDDINGS,
     "op6_warc": ARCHIVE,
     "op7_ngram_jaccard": JACCARD,
     "op10_quality_rules": RULES,
+    "op11_source_mixing": MIXING,
+    "op12_hard_negatives": NEGATIVES,
+    "op13_lexical_search": LEXICAL,
 }

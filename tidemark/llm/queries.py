@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from .archive import archive_folder, read_archive, write_archive
 from .chat import format_chat
+from .lexical import lexical_search
 from .licences import scan_licences
+from .mixing import mix_sources, taken_words
+from .negatives import hard_negatives
 from .packing import pack
 from .pieces import encode_pieces
 from .quality import fit_quality, held_out
@@ -78,6 +81,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text", "cleaned")
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources(_table(spark, sf_dir, "documents"))
+    return taken_words(mix).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -89,4 +107,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
+    "op11_source_mixing": op11_source_mixing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_lexical_search": op13_lexical_search,
 }
