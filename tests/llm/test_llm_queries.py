@@ -24,7 +24,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables n
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "labels", "conversations"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     return connection
 
