@@ -22,8 +22,9 @@ NONE = -(1 << 62)
 def reference_directions(vectors: list[np.ndarray], dim: int, number: int) -> np.ndarray:
     """Unit rows, each the sample's vector farthest from those before; random ones where the sample has no more."""
     chosen = np.random.default_rng(dim).standard_normal((number, max(1, dim)))[:, :dim]
-    sample = np.array([v for v in vectors if np.any(v)], np.float64).reshape(-1, dim)
-    if len(sample) and dim:
+    sample = [v for v in vectors if np.any(v)]
+    if sample:
+        sample = np.array(sample, np.float64)
         sample /= np.linalg.norm(sample, axis=1, keepdims=True)
         closest = np.full(len(sample), -1.0)
         at = 0
