@@ -52,8 +52,6 @@ TEMPLATES = (
     ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 )
 UNKNOWN = "unknown"
-#: Lines of the corpus, of smallest hash, that stand for the unknown class in training.
-SAMPLE = 2000
 
 
 def words_of(text: Column) -> Column:
@@ -76,7 +74,7 @@ def _templates(spark) -> DataFrame:
     return spark.createDataFrame(rows, "template int, family string, line string").withColumn("words", words_of(F.col("line")))
 
 
-def _examples(templates: DataFrame, lines: DataFrame) -> DataFrame:
+def _examples(templates: DataFrame, lines: DataFrame, sample: int) -> DataFrame:
     """Whole templates and all their windows of two thirds of the words, against lines of the corpus."""
     size = F.size("words")
     width = F.ceil(size * 2 / 3).cast("int")
@@ -88,10 +86,10 @@ def _examples(templates: DataFrame, lines: DataFrame) -> DataFrame:
     known = templates.select("family", "words").union(windows).union(blank)
     # Only hashes are told apart over the corpus; the few lines that they stand for are looked up again.
     hashed = lines.where(F.size("words") >= 2).select("line", F.xxhash64("line").alias("hash"))
-    smallest = hashed.select("hash").distinct().orderBy("hash").limit(SAMPLE)
+    smallest = hashed.select("hash").distinct().orderBy("hash").limit(sample)
     rest = hashed.join(F.broadcast(smallest), "hash").select("line").distinct().withColumn("words", words_of(F.col("line")))
     like = templates.select(F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram")).distinct()
-    shared = rest.select("line", "words", F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram"))
+    shared = rest.select("line", "words", F.explode_outer(F.array_distinct(grams_of(F.col("words")))).alias("gram"))
     shared = shared.join(F.broadcast(like.withColumn("hit", F.lit(1))), "gram", "left")
     unlike = shared.groupBy("line", "words").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("hits"), F.count("*").alias("n"))
     unlike = unlike.where("2 * hits < n").select(F.lit(UNKNOWN).alias("family"), "words")
@@ -107,15 +105,17 @@ def _softmax_loss(rows, families: list[str], temperature: float) -> float:
     return loss / max(1, len(rows))
 
 
-def train(lines: DataFrame) -> tuple[DataFrame, dict[str, float], float]:
-    """(weights per gram and family, intercepts, temperature) from templates and at most ``SAMPLE`` lines.
+def train(lines: DataFrame, sample: int = 2000) -> tuple[DataFrame, dict[str, float], float]:
+    """(weights per gram and family, intercepts, temperature) from templates and at most ``sample`` lines.
+
+    The lines (columns ``line``, ``words``) are those of smallest hash and stand for the unknown class.
 
     The vocabulary holds the grams of the templates only: other grams weigh nothing. The temperature is the one with
     the least loss on a fifth of the examples, which the weights have not seen.
     """
     spark = lines.sparkSession
     templates = _templates(spark)
-    examples = _examples(templates, lines).cache()
+    examples = _examples(templates, lines, sample).cache()
     families = sorted({f for f, _ in TEMPLATES}) + [UNKNOWN]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
     counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True)
@@ -141,6 +141,8 @@ def scan_licences(
     text_col: str = "text",
     least_probability: float = 0.5,
     least_overlap: float = 0.5,
+    sample: int = 2000,
+    model: tuple | None = None,
 ) -> DataFrame:
     """One row per paragraph that the classifier gives to a licence family: id, ``paragraph`` (number of its first line,
     from 0), ``line`` (its lines), ``family``, ``probability``, ``template`` (the closest of the family), ``overlap``,
@@ -157,32 +159,40 @@ def scan_licences(
     paragraph, and unconfirmed paragraphs with a line of their own in the result, give no row. Successive lines that
     hold whole wrapped notices of two families give the likelier one.
 
-    Null and empty texts have no lines; repeated rows are scored each for itself, but equal (id, line number, line)
-    triples give one row. Other columns are ignored.
+    ``model`` is what :func:`train` gives; without one it is trained here, with ``sample`` lines of the corpus.
+
+    Null and empty texts have no lines; equal (id, text) rows are one document and give each result once. Lines of any
+    length are scored whole. Other columns are ignored.
     """
     text = F.col(text_col).cast("string")
     lines = df.select(
         F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), F.posexplode(F.split(text, "\n", -1)).alias("paragraph", "line")
     )
     lines = lines.withColumn("words", words_of(F.col("line")))
-    weights, bias, temperature = train(lines)
+    weights, bias, temperature = model or train(lines, sample)
     families = list(bias)
-    logits = F.array(*[(F.col(f"s{i}") + bias[f]) / temperature for i, f in enumerate(families)])
+    # Of equal documents every gram comes as often as there are copies.
+    copies = F.count("*") / F.size(F.collect_set("gram"))
+    logits = F.array(*[(F.col(f"s{i}") / F.col("copies") + bias[f]) / temperature for i, f in enumerate(families)])
     names = F.array(*[F.lit(f) for f in families])
 
     def score(units: DataFrame) -> DataFrame:
-        grams = units.select("id", "key", "paragraph", "line", F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram"))
+        own = units.withColumn("own", F.array_distinct(grams_of(F.col("words")))).withColumn("n", F.size("own"))
+        # Not the plain explode: Spark would filter by the size of its argument below, with the words spelled out in it.
+        grams = own.select("id", "key", "paragraph", "line", "n", F.explode_outer("own").alias("gram"))
         hits = grams.join(F.broadcast(weights), "gram")
-        summed = hits.groupBy("id", "key", "paragraph", "line").agg(*[F.sum(F.get("weights", F.lit(i))).alias(f"s{i}") for i in range(len(families))], F.collect_set("gram").alias("grams"))
+        summed = hits.groupBy("id", "key", "paragraph").agg(
+            *[F.sum(F.get("weights", F.lit(i))).alias(f"s{i}") for i in range(len(families))],
+            F.collect_set("gram").alias("grams"), copies.alias("copies"), F.first("line").alias("line"), F.max("n").alias("n"),
+        )
         scored = summed.withColumn("logits", logits).withColumn("top", F.array_max("logits"))
         total = F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
         scored = scored.withColumn("probability", 1 / total)
         scored = scored.withColumn("family", F.element_at(names, F.array_position("logits", F.col("top")).cast("int")))
         known = (F.col("family") != UNKNOWN) & (F.col("probability") >= least_probability)
-        return scored.select("id", "key", "paragraph", "line", "family", "probability", "grams", known.alias("known"))
+        return scored.select("id", "key", "paragraph", "line", "family", "probability", "grams", "n", known.alias("known"))
 
-    own = F.size(F.array_distinct(grams_of(words_of(F.col("line")))))
-    scored = score(lines).withColumn("like", 3 * F.size("grams") >= own)
+    scored = score(lines).withColumn("like", 3 * F.size("grams") >= F.col("n"))
     scored = materialise(scored.where(F.col("known") | F.col("like")), "licence-lines")
     # Lines in succession differ from their place among the lines by the same number.
     place = F.row_number().over(Window.partitionBy("key").orderBy("paragraph"))
