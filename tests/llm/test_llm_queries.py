@@ -160,3 +160,65 @@ def test_stages_one_by_one(spark, db):
     library = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     total = sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for t in seen[4]["text"])
     assert sum(p["length"] for p in pieces) == total
+
+
+def licence_lines_by_hand(texts, model):
+    """Every line's family and probability out of the weights, and its best template."""
+    import math
+    import re
+
+    from tidemark.llm.licences import TEMPLATES, UNKNOWN
+
+    weights, bias, temperature = model
+    weights = {r["gram"]: r["weights"] for r in weights.collect()}
+
+    def grams(text):
+        words = [w for w in re.split(r"[^\w]+|_", text.lower()) if w]
+        return {" ".join(words[i : i + n]) for n in (2, 3) for i in range(len(words) - n + 1)}
+
+    wanted = [(f, grams(t)) for f, t in TEMPLATES]
+    for doc, text in texts.items():
+        for number, line in enumerate(text.split("\n")):
+            found = grams(line) & weights.keys()
+            if found:
+                logits = {f: (sum(weights[g][i] for g in found) + bias[f]) / temperature for i, f in enumerate(bias)}
+                family = max(logits, key=logits.get)
+                probability = 1 / sum(math.exp(x - logits[family]) for x in logits.values())
+                if family != UNKNOWN and probability >= 0.5:
+                    overlap = max(len(found & w) / len(w) for f, w in wanted if f == family)
+                    yield doc, number, family, round(probability, 6), overlap >= 0.5
+
+
+def test_licence_lines_by_brute_force(spark, texts):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.licences import scan_licences, train, words_of
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).withColumn("words", words_of(F.col("line")))
+    model = train(lines)
+    found = scan_licences(docs.union(docs.where("doc_id % 3 = 0")), model=model).collect()
+    single = {(r["doc_id"], r["paragraph"], r["family"], round(r["probability"], 6), r["confirmed"]) for r in found if "\n" not in r["line"]}
+    want = set(licence_lines_by_hand(texts, model))
+    confirmed = {w for w in want if w[-1]}
+    assert confirmed and {s for s in single if s[-1]} == confirmed and single <= want
+    assert len(found) == len({(r["doc_id"], r["paragraph"], r["line"]) for r in found})
+
+
+def test_licences_in_very_long_lines(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.licences import scan_licences, train, words_of
+
+    lines = spark.createDataFrame([("some other line of text",)], "line string").withColumn("words", words_of(F.col("line")))
+    model = train(lines)
+    notice, took = "Licensed under the Apache License, Version 2.0.", []
+    for n in (5_000, 20_000):
+        text = " ".join(f"word{i}" for i in range(n)) + " the terms of the " * 500 + "\n" + notice
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.perf_counter()
+        assert [(r["paragraph"], r["family"], r["confirmed"]) for r in scan_licences(df, model=model).collect() if r["confirmed"]] == [(1, "apache-2.0", True)]
+        took.append(time.perf_counter() - begin)
+    assert took[1] < 8 * took[0] + 5
