@@ -19,6 +19,8 @@ from .components import connected_components
 SUB, DROP = 2, 1
 #: Sizes of neighbouring bands grow by this factor.
 GROWTH = 1.5
+#: Members of a signature that are compared at a time.
+BLOCK = 1024
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -203,6 +205,62 @@ def _verify(percent: int, schema: pa.Schema):
     return run
 
 
+def common_at_most(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``most_common`` of every row of counts ``a`` with every row of ``b``.
+
+    Small counts are spelled as steps (1 or more, 2 or more, ..), of which two rows share the sum of their minima: one
+    matrix product per step.
+    """
+    top = int(min(a.max(initial=0), b.max(initial=0)))
+    if top > 8:
+        return np.stack([np.minimum(row, b).sum(axis=1, dtype=np.int64) for row in a])
+    out = np.zeros((len(a), len(b)), np.float32)
+    for step in range(1, top + 1):
+        out += (a >= step).astype(np.float32) @ (b >= step).astype(np.float32).T
+    return out.astype(np.int64)
+
+
+def _counts(histograms: list[bytes]) -> np.ndarray:
+    """Histograms as rows over the ranges of the coarsest one; a full count has no bound."""
+    width = min(map(len, histograms))
+    out = np.empty((len(histograms), width), np.int32)
+    for row, h in zip(out, histograms, strict=True):
+        counts = np.frombuffer(h, np.uint8).astype(np.int32)
+        counts[counts == 255] = 1 << 24
+        np.minimum(counts.reshape(width, -1).sum(axis=1), 1 << 24, out=row)
+    return out
+
+
+def _across(percent: int, schema: pa.Schema):
+    """Pairs of one signature from different components whose histograms leave room for enough common shingles.
+
+    A group holds whole signatures, or two blocks of one (or a block with itself). Only what passes leaves the task.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("sig")
+        sig, node, size, component, block, p, q = (table[c].to_numpy() for c in ("sig", "node", "size", "component", "block", "p", "q"))
+        hist, found = table["hist"].to_pylist(), [np.empty((2, 0), np.int64)]
+        cuts = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]])
+        for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            same = p[begin] == q[begin]
+            left = begin + np.flatnonzero(same | (block[begin:end] == p[begin]))
+            right = left if same else begin + np.flatnonzero(block[begin:end] == q[begin])
+            if not len(left) or not len(right):
+                continue
+            counts = _counts(hist[begin:end])
+            common = common_at_most(counts[left - begin], counts[right - begin])
+            m, n = size[left][:, None], size[right]
+            common = np.minimum(common, np.minimum(m, n))
+            keep = (100 * common >= percent * (m + n - common)) & (component[left][:, None] != component[right])
+            i, j = np.nonzero(np.triu(keep) if same else keep)
+            found.append(np.stack([node[left[i]], node[right[j]]]))
+        pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+        return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
+
+    return run
+
+
 def ngram_jaccard(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -215,12 +273,17 @@ def ngram_jaccard(
        ``need - 1`` most frequent signatures: two sets that share ``need`` still share one of the rest, as all take the
        same order. Passages that many documents share so seldom bring them together, and nothing similar is lost.
     3. In every signature's group each member is paired with one leader; repeated pairs are removed, and so are those
-       whose hash histograms rule out enough common shingles; the rest is verified on the whole sets. Groups that are one component by then are done. Others get other leaders, and in the
-       end the remaining pairs across components are verified too, so that no link is missed.
+       whose hash histograms rule out enough common shingles; the rest is verified on the whole sets. Groups that are one
+       component by then are done. Others get other leaders, three times in all.
+    4. What is still open is compared in blocks of at most about BLOCK members: matrix products over the histograms bound
+       the shingles that two members have in common, and only pairs across components that the bound leaves are given
+       out and verified. So no link is missed, and pairs of unlike texts on a common passage never become rows. The
+       products of such a group still grow with its square.
 
     Words are split at ASCII white space, A-Z is lower-cased. Texts with fewer words than a shingle are one shingle;
     null or empty texts and texts without words have none and link with nothing, as do rows with a null id (their
-    component is null). Repeated ids with different texts are one node. Other columns are ignored.
+    component is null). Components are made of texts: of an id that repeats with different texts every row has the
+    component of its own text, and repeated rows share one. Other columns are ignored.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     arrow = pa.schema([*FEATURES, ("sigs", pa.list_(pa.int64()))])
@@ -250,7 +313,7 @@ def ngram_jaccard(
     schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("hist", pa.binary()), ("shingles", pa.binary())])
     sets = rows.join(asked, "doc_id", "left_semi")
     sets = sets.mapInArrow(_sets(words, schema), "node long, size long, hist binary, shingles binary")
-    sets = materialise(sets, "sets")
+    sets = materialise(sets.dropDuplicates(["node"]), "sets")
 
     near = F.expr(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
     pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -262,9 +325,23 @@ def ngram_jaccard(
             pairs = pairs.join(own, side)
         return pairs
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        possible = beside(pairs, "hist", "size").mapInArrow(_possible(percent, pair), "a long, b long").distinct()
-        possible = beside(materialise(possible, "possible"), "shingles")
+    def in_blocks(member: DataFrame) -> DataFrame:
+        """Pairs of a signature that may be similar. Small groups share a task, large ones are cut into blocks."""
+        sizes = member.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        tasks = F.lit(max(1, member.count() // BLOCK))
+        placed = member.join(sizes, "sig").join(sets.select("node", "hist"), "node")
+        placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        bundle = F.when(F.col("blocks") > 1, F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), tasks))
+        placed = placed.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other"), "bundle": bundle, "alone": F.col("blocks") > 1})
+        columns = ["alone", "bundle", "p", "q", "sig", "node", "size", "component", "block", "hist"]
+        return placed.select(columns).groupBy("alone", "bundle", "p", "q").applyInArrow(_across(percent, pair), "a long, b long")
+
+    def verified(pairs: DataFrame, bounded: bool) -> DataFrame:
+        if not bounded:
+            pairs = beside(pairs, "hist", "size").mapInArrow(_possible(percent, pair), "a long, b long").distinct()
+            pairs = materialise(pairs, "possible")
+        possible = beside(pairs, "shingles")
         return possible.mapInArrow(_verify(percent, pair), "a long, b long").distinct()
 
     # From turn to turn only the members of groups that are not yet one component go on.
@@ -280,22 +357,20 @@ def ngram_jaccard(
             lead = F.first(F.struct("node", "size", "component")).over(group.orderBy(order, "node"))
             pairs = member.withColumn("lead", lead).where("lead.component <> component")
             pairs = pairs.select("node", "size", F.col("lead.node").alias("other"), F.col("lead.size").alias("other_size"))
+            pairs = pairs.select(
+                F.least("node", "other").alias("a"),
+                F.greatest("node", "other").alias("b"),
+                F.col("size").alias("size_a"),
+                F.col("other_size").alias("size_b"),
+            )
+            pairs = pairs.where(near).select("a", "b").distinct()
         else:
-            other = member.select("sig", *(F.col(c).alias(f"other_{c}") for c in ("node", "size", "component")))
-            pairs = member.join(other, "sig").where("component < other_component")
-            pairs = pairs.select("node", "size", F.col("other_node").alias("other"), "other_size")
-        pairs = pairs.select(
-            F.least("node", "other").alias("a"),
-            F.greatest("node", "other").alias("b"),
-            F.col("size").alias("size_a"),
-            F.col("other_size").alias("size_b"),
-        )
-        pairs = pairs.where(near).select("a", "b").distinct()
+            pairs = in_blocks(member).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        links = materialise(verified(pairs), "links")
+        links = materialise(verified(pairs, turn == 3), "links")
         edges = links if edges is None else edges.union(links)
         labels = materialise(connected_components(edges), "labels")
 
