@@ -232,16 +232,16 @@ def _counts(histograms: list[bytes]) -> np.ndarray:
 
 
 def _across(percent: int, schema: pa.Schema):
-    """Pairs of one signature from different components whose histograms leave room for enough common shingles.
+    """Pairs of one bundle from different components whose histograms leave room for enough common shingles.
 
-    A group holds whole signatures, or two blocks of one (or a block with itself). Only what passes leaves the task.
+    A group holds whole bundles, or two blocks of one (or a block with itself). Only what passes leaves the task.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by("sig")
-        sig, node, size, component, block, p, q = (table[c].to_numpy() for c in ("sig", "node", "size", "component", "block", "p", "q"))
+        table = table.combine_chunks().sort_by("low")
+        low, node, size, component, block, p, q = (table[c].to_numpy() for c in ("low", "node", "size", "component", "block", "p", "q"))
         hist, found = table["hist"].to_pylist(), [np.empty((2, 0), np.int64)]
-        cuts = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]])
+        cuts = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1, [len(low)]])
         for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             same = p[begin] == q[begin]
             left = begin + np.flatnonzero(same | (block[begin:end] == p[begin]))
@@ -326,16 +326,24 @@ def ngram_jaccard(
         return pairs
 
     def in_blocks(member: DataFrame) -> DataFrame:
-        """Pairs of a signature that may be similar. Small groups share a task, large ones are cut into blocks."""
-        sizes = member.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        tasks = F.lit(max(1, member.count() // BLOCK))
-        placed = member.join(sizes, "sig").join(sets.select("node", "hist"), "node")
+        """Pairs that may be similar and share a signature.
+
+        Signatures with the same smallest member are one bundle, in which every member stands once: groups of much the
+        same members have it in common, so that their pairs are compared once. Small bundles share a task, large ones
+        are cut into blocks.
+        """
+        bundles = member.withColumn("low", F.min("node").over(group)).groupBy("low", "node")
+        bundles = bundles.agg(F.max("size").alias("size"), F.max("component").alias("component"))
+        bundles = materialise(bundles, "bundles")
+        blocks = bundles.groupBy("low").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        tasks = F.lit(max(1, bundles.count() // BLOCK))
+        placed = bundles.join(blocks, "low").join(sets.select("node", "hist"), "node")
         placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
         placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        bundle = F.when(F.col("blocks") > 1, F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), tasks))
-        placed = placed.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other"), "bundle": bundle, "alone": F.col("blocks") > 1})
-        columns = ["alone", "bundle", "p", "q", "sig", "node", "size", "component", "block", "hist"]
-        return placed.select(columns).groupBy("alone", "bundle", "p", "q").applyInArrow(_across(percent, pair), "a long, b long")
+        task = F.when(F.col("blocks") > 1, F.col("low")).otherwise(F.pmod(F.xxhash64("low"), tasks))
+        placed = placed.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other"), "task": task, "alone": F.col("blocks") > 1})
+        columns = ["alone", "task", "p", "q", "low", "node", "size", "component", "block", "hist"]
+        return placed.select(columns).groupBy("alone", "task", "p", "q").applyInArrow(_across(percent, pair), "a long, b long")
 
     def verified(pairs: DataFrame, bounded: bool) -> DataFrame:
         if not bounded:
@@ -365,7 +373,7 @@ def ngram_jaccard(
             )
             pairs = pairs.where(near).select("a", "b").distinct()
         else:
-            pairs = in_blocks(member).distinct()
+            pairs = materialise(in_blocks(member), "blocks").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
