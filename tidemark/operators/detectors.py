@@ -34,7 +34,15 @@ def running_count_per_day(
     order_by: Sequence[str] = (),
     count: str = "count",
 ) -> DataFrame:
-    """Position of every row within its key and UTC day; rows are ordered by ``order_by`` or ``ts``."""
+    """Position of every row within its key and UTC day; rows are ordered by ``order_by`` or ``ts``.
+
+    A stream numbers rows in event-time order (then ``order_by``), each once the watermark has passed it, so disorder
+    within the delay does not matter; the count of a key and day is kept until that day is over.
+    """
+    if df.isStreaming:
+        from ..streaming.processors import day_numbers_stream
+
+        return day_numbers_stream(df, _as_list(keys), ts, list(order_by), count)
     by = [*_as_list(keys), "day"]
     dated = df.withColumn("day", utc_day(ts))
     return with_running_number(dated, by, list(order_by) or [ts], ts, count)

@@ -22,6 +22,7 @@ from ..operators.ranking import top_n
 from ..operators.windows import windowed_count
 from ..sources.parsing import exclude_static_assets
 from ..streaming.sinks import ranked_sink
+from ..streaming.sliding import sliding_counts
 
 
 def item_window_counts(
@@ -102,12 +103,21 @@ def write_hot_urls(
     return counts.writeStream.outputMode("append").foreachBatch(ranked_sink(sink, "count", "url", n, report, URL_REPORT))
 
 
+def _counts(df: DataFrame, keys: list[str], size: int | str, slide: int | str) -> DataFrame:
+    if df.isStreaming and seconds(slide) < seconds(size):
+        return sliding_counts(df, keys, "ts", size, slide)
+    return windowed_count(df, keys, "ts", size, slide)
+
+
 def channel_counts(
     marketing: DataFrame, size: int | str = "1 hour", slide: int | str = 1, unwanted: str = "UNINSTALL"
 ) -> DataFrame:
-    """Events per channel and behaviour and window; a missing behaviour is not the unwanted one."""
+    """Events per channel and behaviour and window; a missing behaviour is not the unwanted one.
+
+    On a stream each window comes once, when it closes (append mode), see ``streaming.sliding_counts``.
+    """
     kept = marketing.filter(~F.col("behavior").eqNullSafe(unwanted))
-    return windowed_count(kept, ["channel", "behavior"], "ts", size, slide)
+    return _counts(kept, ["channel", "behavior"], size, slide)
 
 
 def ad_clicks_by_province(
@@ -120,7 +130,7 @@ def ad_clicks_by_province(
 ) -> tuple[DataFrame, DataFrame]:
     """Clicks per province and window without those over the daily limit, and the blacklist."""
     passed, warnings = cap_per_key_per_day(clicks, keys, "ts", limit, order_by)
-    return windowed_count(passed, ["province"], "ts", size, slide), warnings
+    return _counts(passed, ["province"], size, slide), warnings
 
 
 def login_fail_sequences(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..functions.text import PAID, PAID_LATE, PAID_UNKNOWN, TIMED_OUT
+from ..functions.time import utc_day
 from ..operators.patterns import MATCHED, NEXT, TIMEOUT
 
 Rows = list[tuple]
@@ -107,6 +108,20 @@ class InOrder(StatefulProcessor):
             state.clear()
 
 
+class DayNumbers(InOrder):
+    """Rows of a key and day, numbered; the number reached is forgotten when the day is over."""
+
+    memory_schema = "n BIGINT, until BIGINT"
+
+    def advance(self, memory, rows, mark):
+        found, (n, until) = [], memory[0] if memory else (0, 0)
+        for at, *values in rows:
+            n += 1
+            until = (at // (DAY_MS * 1000) + 1) * DAY_MS * 1000
+            found.append((at, *values, n))
+        return (found, [(n, until)], until) if mark <= until else (found, [], None)
+
+
 class FailPairs(InOrder):
     memory_schema = "at BIGINT"
 
@@ -280,6 +295,20 @@ def _at(name: str, alias: str):
     return F.timestamp_micros(name).alias(alias)
 
 
+def day_numbers_stream(df, keys, ts, order_by, count) -> DataFrame:
+    own = {k: f"key{i}" for i, k in enumerate(keys)}
+    rest = [c for c in [*[c for c in order_by if c in df.columns], *df.columns] if c != ts and c not in keys]
+    rest = list(dict.fromkeys(rest))
+    named = df.select(*[F.col(k).alias(n) for k, n in own.items()], F.unix_date(utc_day(ts)).alias("day_number"), ts, *rest)
+    types = [named.schema[c].dataType.simpleString() for c in rest]
+    results = ", ".join(["row_us BIGINT", *[f"out{i} {kind}" for i, kind in enumerate(types)], "n BIGINT"])
+    found = in_order(named, [*own.values(), "day_number"], ts, rest, DayNumbers, results)
+    given = {**{k: F.col(n) for k, n in own.items()}, ts: F.timestamp_micros("row_us")}
+    given |= {c: F.col(f"out{i}") for i, c in enumerate(rest)}
+    columns = [given[c].alias(c) for c in df.columns]
+    return found.select(*columns, F.date_from_unix_date("day_number").alias("day"), F.col("n").alias(count))
+
+
 def fail_pairs_stream(df, keys, ts, gap_s, order_by) -> DataFrame:
     columns = [c for c in order_by if c != ts] + ["_fail"]
     make = lambda *layout: FailPairs(*layout, gap_us=gap_s * 1_000_000)
