@@ -1,5 +1,5 @@
 from .detectors import cap_per_key_per_day, fail_pairs, fail_runs, order_pay_status, running_count_per_day
-from .distinct import first_sights, running_unique_count, unique_count
+from .distinct import first_sights, merged_unique_count, running_unique_count, unique_count, window_bitmaps
 from .joins import connected, interval_join, prefixed, reconcile, window_join
 from .outputs import parquet_sink, split_outputs, tagged, write_outputs
 from .patterns import Step, match_sequence
@@ -15,6 +15,7 @@ __all__ = [
     "first_sights",
     "interval_join",
     "latest_per_key",
+    "merged_unique_count",
     "match_sequence",
     "order_pay_status",
     "page_views",
@@ -29,6 +30,7 @@ __all__ = [
     "tagged",
     "top_n",
     "unique_count",
+    "window_bitmaps",
     "window_join",
     "windowed_agg",
     "windowed_avg",

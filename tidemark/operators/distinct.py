@@ -47,6 +47,24 @@ def unique_count(
     )
 
 
+def window_bitmaps(df: DataFrame, id_col: str, ts: str, size: int | str = "1 hour") -> DataFrame:
+    """The 2^28-bit maps of tumbling windows as values that can be stored and merged: a row per window and bucket.
+
+    Columns ``window_start``, ``window_end``, ``bucket`` and ``bitmap`` (4 kB each, 32,768 positions); buckets without a
+    bit have no row. Bits are set before the shuffle, which so carries bitmaps instead of ids.
+    """
+    rows = df.select(ts, bitmap_position(id_col).alias("_position")).where("_position IS NOT NULL")
+    rows = rows.select(ts, F.bitmap_bucket_number("_position").alias("bucket"), F.bitmap_bit_position("_position").alias("_bit"))
+    return windowed_agg(rows, ["bucket"], ts, size, bitmap=F.bitmap_construct_agg("_bit"))
+
+
+def merged_unique_count(bitmaps: DataFrame, size: int | str = "1 day") -> DataFrame:
+    """Distinct positions per larger window (a multiple of the bitmaps' own) out of ``window_bitmaps``."""
+    merged = windowed_agg(bitmaps, ["bucket"], "window_start", size, bits=F.bitmap_or_agg("bitmap"))
+    counted = merged.groupBy("window_start", "window_end").agg(F.sum(F.bitmap_count("bits")).alias("count"))
+    return counted.select("window_start", "window_end", "count")
+
+
 def first_sights(
     stream: DataFrame, id_col: str, ts: str, size: int | str = "1 hour", method: str = "exact"
 ) -> DataFrame:

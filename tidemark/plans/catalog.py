@@ -7,6 +7,7 @@ stand for payments and receipts. Ties are broken by ``event_id``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,11 +16,13 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.hashing import bitmap_position
 from ..functions.text import PAID, TIMED_OUT
-from ..functions.time import next_utc_midnight, reject_future
-from ..operators import detectors, distinct, joins, patterns, ranking, windows
+from ..functions.time import next_utc_midnight, reject_future, with_event_time
+from ..operators import detectors, distinct, joins, outputs, patterns, ranking, windows
 from ..operators.ordered import with_running_number
+from ..session import shared_dir
 from ..sources import parsing
 from ..sources.tables import load_table, zoneless_timestamps
+from ..streaming.corrected import CompactedLog
 from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +102,60 @@ def late_corrected_counts(spark, sf_dir):
     return ranking.latest_per_key(given, keys, "event_id").drop("event_id")
 
 
+@query
+def corrected_hot_items(spark, sf_dir):
+    """The hot items of a stream that arrives by event number: each file corrects the rankings given out before."""
+    folder = f"{shared_dir(spark)}/corrected/{uuid.uuid4().hex}"
+    arrivals = events_of(spark, sf_dir, "view").select("event_id", "ts", "item_id", "behavior")
+    arrivals.repartitionByRange(3, "event_id").write.parquet(f"{folder}/arrivals")
+    stream = spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/arrivals")
+    log = CompactedLog(f"{folder}/log", every=2)
+    writer = jobs.write_corrected_hot_items(stream.withWatermark("ts", "3650 days"), log.append, f"{folder}/state", wanted="view")
+    writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return log.read(spark).drop("change")
+
+
+@query
+def unique_visitors_merged(spark, sf_dir):
+    """Daily distinct positions out of stored hourly bitmaps."""
+    hourly = distinct.window_bitmaps(events_of(spark, sf_dir, "view"), "user_id", "ts", "1 hour")
+    return distinct.merged_unique_count(hourly, "1 day")
+
+
+@query
+def event_times(spark, sf_dir):
+    """Epoch seconds and milliseconds as event times."""
+    rows = load_table(spark, sf_dir, "events").select(
+        "event_id", F.unix_seconds("ts").alias("sent_s"), F.unix_millis("ts").alias("sent_ms")
+    )
+    return with_event_time(with_event_time(rows, "sent_s", "s", ts="by_s"), "sent_ms", "ms", ts="by_ms")
+
+
+def _order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks open orders and purchases pay them; of three payments one has an empty and one no transaction id."""
+    tx = F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 3 == 1, F.concat(F.lit("tx"), "event_id"))
+    kind = F.when(F.col("behavior") == "purchase", "pay").when(F.col("behavior") == "click", "create")
+    rows = behavior(spark, sf_dir).select("event_id", F.col("user_id").alias("order_id"), kind.alias("event_type"), tx.alias("tx_id"), "ts")
+    return rows.where("event_type IS NOT NULL")
+
+
+@query
+def paid_transactions(spark, sf_dir):
+    """Payments that have a transaction id."""
+    orders = _order_log(spark, sf_dir)
+    return jobs.pays_and_receipts(orders, orders.select("tx_id", "ts"))[0]
+
+
+@query
+def side_outputs(spark, sf_dir):
+    """Clicks within the daily limit and warnings as outputs of one result, each counted by itself."""
+    passed, warned = detectors.cap_per_key_per_day(events_of(spark, sf_dir, "click"), "user_id", "ts", 1, ["ts", "event_id"])
+    both = passed.select("user_id", F.lit("passed").alias("output")).union(warned.select("user_id", F.lit("warned").alias("output")))
+    parts = outputs.split_outputs(both, ["passed", "warned"])
+    counted = [outputs.tagged(rows.groupBy("user_id").count(), tag) for tag, rows in parts.items()]
+    return counted[0].union(counted[1])
+
+
 @query
 def parse_access_log(spark, sf_dir):
     ip = F.concat(F.lit("10.0."), F.expr("user_id div 256"), F.lit("."), F.col("user_id") % 256)

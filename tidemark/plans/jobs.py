@@ -21,6 +21,7 @@ from ..operators.patterns import FOLLOWED_BY, MATCHED, NEXT, Step, match_sequenc
 from ..operators.ranking import top_n
 from ..operators.windows import windowed_count
 from ..sources.parsing import exclude_static_assets
+from ..streaming.corrected import corrected_top_n
 from ..streaming.sinks import ranked_sink
 from ..streaming.sliding import sliding_counts
 
@@ -89,6 +90,21 @@ def write_hot_items(
     return counts.writeStream.outputMode("append").foreachBatch(ranked_sink(sink, "count", "item_id", n, report, ITEM_REPORT))
 
 
+def write_corrected_hot_items(
+    behavior: DataFrame,
+    sink: Sink,
+    state_path: str,
+    size: int | str = "1 hour",
+    slide: int | str = "5 minutes",
+    n: int = 3,
+    wanted: str = "pv",
+) -> DataStreamWriter:
+    """The rankings of a stream as changes, from the first row of a window on and corrected by late rows until the
+    watermark has passed its end. ``streaming.CompactedLog`` keeps their sum."""
+    counts = item_window_counts(behavior, size, slide, wanted)
+    return counts.writeStream.outputMode("update").foreachBatch(corrected_top_n(sink, state_path, "count", "item_id", n))
+
+
 def write_hot_urls(
     log: DataFrame,
     sink: Sink,

@@ -112,6 +112,18 @@ LINE_HEAD = f"user_id || ',' || {ITEM} || ',' || {ITEM} % 7"
 
 ORACLE: dict[str, str] = {
     "hot_items": HOT_ITEMS,
+    "corrected_hot_items": HOT_ITEMS,
+    "unique_visitors_merged": f"""
+        SELECT {_ts(f"{SECOND} // 86400 * 86400")} AS window_start, {_ts(f"{SECOND} // 86400 * 86400 + 86400")} AS window_end,
+               count(DISTINCT {POSITION}) AS count
+        FROM ({VIEWS}) GROUP BY ALL""",
+    "event_times": f"SELECT event_id, {_ts(SECOND)} AS by_s, make_timestamp(epoch_us(ts) // 1000 * 1000) AS by_ms FROM events",
+    "paid_transactions": """
+        SELECT event_id AS pay_event_id, user_id AS pay_order_id, 'pay' AS pay_event_type, 'tx' || event_id AS tx_id, ts AS pay_ts
+        FROM events WHERE event_type = 'purchase' AND event_id % 3 = 1""",
+    "side_outputs": f"""
+        SELECT CASE WHEN n = 1 THEN 'passed' ELSE 'warned' END AS output, user_id, count(*) AS count
+        FROM ({CAPPED}) WHERE n <= 2 GROUP BY ALL""",
     "item_window_counts": ITEM_COUNTS,
     "top_n_report": _report(HOT_ITEMS, "时间: ", "item_id", ":商品ID", "点击量=", "=" * 14),
     "hot_urls": HOT_URLS,
