@@ -99,3 +99,70 @@ def test_late_rows_correct_a_ranking(spark, events):
             assert total[key] in (0, 1)
     assert len({k for k, n in total.items() if n}) == final.count()
     assert sum(name.startswith("base-") for name in os.listdir(out)) == 1
+
+
+class Held:
+    """State of one key in memory, counting the rows that are read from it."""
+
+    def __init__(self):
+        self.entries, self.read = {}, 0
+
+    def exists(self):
+        return bool(self.entries)
+
+    def get(self):
+        found = self.entries[None]
+        return iter(found) if isinstance(found, list) else found
+
+    def put(self, rows):
+        self.entries[None] = list(rows)
+
+    def update(self, value):
+        self.entries[None] = value
+
+    def clear(self):
+        self.entries.clear()
+
+    def updateValue(self, key, value):
+        self.entries[key] = value
+
+    def getValue(self, key):
+        self.read += len(self.entries[key][0])
+        return self.entries[key]
+
+    def removeKey(self, key):
+        del self.entries[key]
+
+
+def test_waiting_rows_are_read_about_once():
+    from tidemark.streaming.processors import FailPairs
+
+    class Handle:
+        timers = set()
+        getListState = getMapState = getValueState = lambda self, *args: Held()
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.discard(at)
+
+    class Mark:
+        def __init__(self, at):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: at
+
+    rule, handle, n = FailPairs(["at_us", "failed"], ["bigint", "boolean"], gap_us=2_000_000), Handle(), 4000
+    rule.fields = ["key", "first", "last"]
+    rule.init(handle)
+    rows = [{"at_us": i * 250_000, "failed": i % 3 > 0} for i in range(n)]
+    for begin in range(0, n, 1000):
+        list(rule.handleInputRows((1,), reversed(rows[begin : begin + 1000]), None))
+    found = []
+    while handle.timers:
+        at = min(handle.timers)
+        handle.timers.remove(at)
+        at += 700
+        rule.wake.update((at,))
+        found += rule.handleExpiredTimer((1,), Mark(at), Mark(at))
+    assert [(r["first"], r["last"]) for r in found] == [((i - 1) * 250_000, i * 250_000) for i in range(2, n, 3)]
+    assert rule.waiting.read < 3 * n and not rule.waiting.entries

@@ -90,20 +90,13 @@ def with_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str,
     rows = rows.withColumn("_here", F.sum(F.when(F.col(flag), 1).otherwise(0)).over(upto))
     rows = rows.withColumn("_start", F.first(F.when(F.col(flag), F.col(ts)), ignorenulls=True).over(upto))
 
-    tail = df.withColumn("_at", F.struct(*order))
-    tail = with_bins(tail, ts, order)
-    stops = tail.groupBy(*keys, BIN).agg(F.max(F.when(~F.col(flag), F.col("_at"))).alias("_stop"))
-    tail = join_bins(tail, stops, keys).where(F.col("_stop").isNull() | (F.col("_at") > F.col("_stop")))
-    tail = tail.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_n"), F.min_by(ts, "_at").alias("_from"))
-    stops = stops.select(*keys, BIN, F.col("_stop").isNotNull().cast("int").alias("_stopped"))
-    same = tail.withColumnsRenamed({c: f"_t_{c}" for c in [*keys, BIN]})
-    match = F.col(BIN).eqNullSafe(F.col(f"_t_{BIN}"))
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-    bins = stops.join(same, match, "left").drop(*[f"_t_{c}" for c in [*keys, BIN]])
+    # What a bin hands on is what its last row has reached.
+    last = F.max_by(F.struct("_here", "_start"), F.struct(*order)).alias("_last")
+    bins = rows.groupBy(*keys, BIN).agg(last, (F.max("_breaks") > 0).cast("int").alias("_stopped"))
+    bins = bins.select(*keys, BIN, "_stopped", F.col("_last._here").alias("_n"), F.col("_last._start").alias("_from"))
     bins = bins.withColumn("_part", F.sum("_stopped").over(over_bins(keys)))
     since = Window.partitionBy(*keys, "_part").orderBy(BIN).rowsBetween(Window.unboundedPreceding, 0)
-    bins = bins.withColumn("_open", F.sum(F.coalesce("_n", F.lit(0))).over(since))
+    bins = bins.withColumn("_open", F.sum("_n").over(since))
     bins = bins.withColumn("_since", F.first("_from", ignorenulls=True).over(since))
     bins = bins.select(
         *keys,

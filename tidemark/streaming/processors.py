@@ -22,7 +22,9 @@ from ..operators.patterns import MATCHED, NEXT, TIMEOUT
 Rows = list[tuple]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
+#: Rows of one entry of the state, and the width of a time slice.
 APPEND_ROWS = 1000
+SLICE_US = 1_000_000
 TIME = "at_us"
 
 
@@ -37,7 +39,9 @@ def _nulls_first(row: tuple) -> list:
 class InOrder(StatefulProcessor):
     """Calls ``advance`` with the rows the watermark has passed, oldest first.
 
-    Times are microseconds. ``memory`` is what the rule keeps between calls, as a list of tuples.
+    Times are microseconds. ``memory`` is what the rule keeps between calls, as a list of tuples. Waiting rows lie in
+    slices of time, so that a call reads the slices that are due (and an index with one entry per slice), not all rows;
+    of the slice that the watermark has only begun the rest is written back.
     """
 
     memory_schema: str
@@ -53,7 +57,9 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row_schema)
+        row = ", ".join(c.replace(" ", ": ", 1) for c in self.row_schema.split(", "))
+        self.waiting = handle.getMapState("waiting", "slice BIGINT, part BIGINT", f"rows ARRAY<STRUCT<{row}>>")
+        self.index = handle.getListState("slices", "slice BIGINT, parts BIGINT, earliest BIGINT")
         self.memory = handle.getListState("memory", self.memory_schema)
         self.wake = handle.getValueState("wake", "at BIGINT")
 
@@ -68,33 +74,58 @@ class InOrder(StatefulProcessor):
         self.wake.update((at,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        earliest, batch = None, []
+        index, batch, size, earliest = self._slices(), {}, 0, None
         for row in rows:
             values = tuple(row[c] for c in self.columns)
             earliest = values[0] if earliest is None else min(earliest, values[0])
-            batch.append(values)
-            if len(batch) == APPEND_ROWS:
-                self.waiting.appendList(batch)
-                batch = []
-        if batch:
-            self.waiting.appendList(batch)
+            batch.setdefault(values[0] // SLICE_US, []).append(values)
+            size += 1
+            if size == APPEND_ROWS:
+                self._put(index, batch)
+                batch, size = {}, 0
+        self._put(index, batch)
         if earliest is not None:
+            self._store(self.index, [(s, *entry) for s, entry in index.items()])
             self._wake_after(earliest)
         return iter([])
 
+    def _slices(self) -> dict[int, tuple[int, int]]:
+        """The number of parts and the earliest time of every slice with waiting rows."""
+        return {s: (parts, at) for s, parts, at in self.index.get()} if self.index.exists() else {}
+
+    def _put(self, index: dict, batch: dict[int, Rows]) -> None:
+        for number, rows in batch.items():
+            parts, at = index.get(number, (0, rows[0][0]))
+            self.waiting.updateValue((number, parts), (rows,))
+            index[number] = parts + 1, min(at, *(row[0] for row in rows))
+
+    def _take_until(self, mark: int) -> tuple[Rows, int | None]:
+        """Waiting rows before ``mark``, in order, and the earliest time of those that stay."""
+        index, ready, begun = self._slices(), [], {}
+        for number in [s for s in index if s * SLICE_US < mark]:
+            parts, _ = index.pop(number)
+            for part in range(parts):
+                for row in self.waiting.getValue((number, part))[0]:
+                    values = tuple(row)
+                    if values[0] < mark:
+                        ready.append(values)
+                    else:
+                        begun.setdefault(number, []).append(values)
+                self.waiting.removeKey((number, part))
+        self._put(index, begun)
+        self._store(self.index, [(s, *entry) for s, entry in index.items()])
+        return sorted(ready, key=_nulls_first), min((at for _, at in index.values()), default=None)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.wake.exists() or self.wake.get()[0] != expiredTimerInfo.getExpiryTimeInMs():
             return iter([])
         self.wake.clear()
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(self.waiting.get(), key=_nulls_first) if self.waiting.exists() else []
-        ready = [row for row in held if row[0] < mark]
+        ready, earliest = self._take_until(mark)
         memory = list(self.memory.get()) if self.memory.exists() else []
         results, memory, due = self.advance(memory, ready, mark)
-        later = held[len(ready) :]
-        self._store(self.waiting, later)
         self._store(self.memory, memory)
-        times = [row[0] for row in later[:1]] + ([due] if due is not None else [])
+        times = [at for at in (earliest, due) if at is not None]
         if times:
             self._wake_after(min(times))
         result = Row(*self.fields)
