@@ -214,3 +214,22 @@ def test_tries_leave_documents_out():
     terms = np.array([0, 1, 20, 21, 22, 23])
     scored = trie.search(terms, np.array([10, 10, 3000, 3000, 3000, 3000]), best, 10)
     assert len(best) == 10 and scored < 0.3 * len(documents)
+
+
+def test_common_passage_gives_few_candidates(spark, monkeypatch):
+    from tidemark.llm import shingles
+
+    made, plain = {}, shingles.materialise
+
+    def counted(df, name, path=None):
+        out = plain(df, name, path)
+        made[name] = made.get(name, 0) + (out.count() if name in ("blocks", "pairs") else 0)
+        return out
+
+    monkeypatch.setattr(shingles, "materialise", counted)
+    passage = " ".join(f"c{i}" for i in range(60))
+    docs = [(i, f"{passage} " + " ".join(f"u{i}x{j}" for j in range(30))) for i in range(2000)]
+    docs += [(5000, docs[7][1] + " end")]
+    found = shingles.ngram_jaccard(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found if r["component_id"] != r["doc_id"]} == {5000}
+    assert made["blocks"] < 2000 and made["pairs"] < 50_000
