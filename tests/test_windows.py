@@ -15,6 +15,8 @@ from tidemark.operators import (
     windowed_agg,
     windowed_avg,
     windowed_count,
+    windowed_distinct,
+    windowed_extremes,
 )
 
 UTC = dt.timezone.utc
@@ -43,6 +45,25 @@ def by_hand(rows, size, slide):
     return found
 
 
+@pytest.mark.parametrize("size, slide", [(60, 60), (60, 5), (61, 7), (7, 3), (5, 20), (3600, 5)])
+def test_extremes_and_distinct_counts_by_hand(clicks, size, slide):
+    """Some values and one time are null; 3600 s at 5 s are 720 windows per row."""
+    rows = clicks.withColumn("value", F.when(F.col("second") % 3 != 0, F.col("value")))
+    expected = by_hand([(r.second, r.key, r.value) for r in rows.collect()], size, slide)
+    rows = rows.union(rows.limit(1).withColumn("ts", F.lit(None).cast("timestamp")))
+    rows = rows if slide < size else rows.filter("ts IS NOT NULL")
+    extremes = windowed_extremes(rows, "value", ["key"], "ts", size, slide)
+    distinct = windowed_distinct(rows, "value", ["key"], "ts", size, slide)
+    found = {(r.key, r.window_end): (r.lowest, r.highest) for r in extremes.collect()}
+    known = {k: [v for v in values if v is not None] for k, values in expected.items()}
+    assert found == {k: (min(v, default=None), max(v, default=None)) for k, v in known.items()}
+    assert {(r.key, r.window_end): r["count"] for r in distinct.collect()} == {k: len(set(v)) for k, v in known.items()}
+    assert extremes.count() == distinct.count() == len(expected)
+    nothing = rows.limit(0)
+    assert not windowed_extremes(nothing, "value", ["key"], "ts", size, slide).collect()
+    assert not windowed_distinct(nothing, "value", ["key"], "ts", size, slide).collect()
+
+
 @pytest.mark.parametrize("size, slide", [(60, 60), (60, 5), (60, 1), (61, 7), (7, 3), (5, 20), (3600, 1)])
 def test_sliding_counts_and_averages_by_hand(clicks, size, slide):
     expected = by_hand([(r.second, r.key, r.value) for r in clicks.collect()], size, slide)

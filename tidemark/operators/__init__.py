@@ -4,7 +4,15 @@ from .joins import connected, interval_join, prefixed, reconcile, window_join
 from .outputs import parquet_sink, split_outputs, tagged, write_outputs
 from .patterns import Step, match_sequence
 from .ranking import latest_per_key, ranked_report, top_n
-from .windows import page_views, sliding_ends, windowed_agg, windowed_avg, windowed_count
+from .windows import (
+    page_views,
+    sliding_ends,
+    windowed_agg,
+    windowed_avg,
+    windowed_count,
+    windowed_distinct,
+    windowed_extremes,
+)
 
 __all__ = [
     "Step",
@@ -35,5 +43,7 @@ __all__ = [
     "windowed_agg",
     "windowed_avg",
     "windowed_count",
+    "windowed_distinct",
+    "windowed_extremes",
     "write_outputs",
 ]

@@ -87,36 +87,48 @@ def _sliding_sums(
     whatever the number of raw rows. ``present`` names the part that counts rows.
     """
     keys = list(keys)
-    second, pane_s = F.unix_seconds(ts), gcd(size_s, slide_s)
-    cells = df.groupBy(*keys, aligned(second, pane_s).alias("_pane")).agg(
-        *[part.alias(name) for name, part in parts.items()]
-    )
+    cells = _cells(df, keys, ts, size_s, slide_s, parts)
+    placed = _placed(cells, keys, size_s, slide_s, list(parts))
+    exact = all(isinstance(placed.schema[p].dataType, EXACT_TYPES) for p in parts)
+    summed = (_by_changes if exact else _by_expansion)(placed, keys, slide_s, list(parts), present)
+    return summed.select(*keys, *_bounds_of(F.col("_start"), size_s), *parts)
+
+
+def _bounds_of(start_s: Column, size_s: int) -> list[Column]:
+    return [F.timestamp_seconds(start_s).alias("window_start"), F.timestamp_seconds(start_s + size_s).alias("window_end")]
+
+
+def _cells(
+    df: DataFrame, keys: list[str], ts: str, size_s: int, slide_s: int, parts: Mapping[str, Column], more: Sequence[Column] = ()
+) -> DataFrame:
+    """One row per key and pane (column ``_pane``, its first second), and by ``more``."""
+    pane = aligned(F.unix_seconds(ts), gcd(size_s, slide_s)).alias("_pane")
+    return df.groupBy(*keys, *more, pane).agg(*[part.alias(name) for name, part in parts.items()])
+
+
+def _placed(
+    cells: DataFrame, keys: list[str], size_s: int, slide_s: int, values: list[str], more: Sequence[str] = ()
+) -> DataFrame:
+    """Cells by key and block of window starts, with the starts ``[_from, _until)`` in the block that hold them."""
     block_s = slide_s * -(-4 * size_s // slide_s)
     first, last = start_range(F.col("_pane"), size_s, slide_s)
     blocks = F.explode(steps(aligned(first, block_s), aligned(last, block_s), block_s))
     # The partition count is given, because merging partitions that are small before the windows
     # are written out would undo the spread.
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     block = F.col("_block")
-    placed = (
-        cells.select(*keys, *parts, first.alias("_first"), last.alias("_last"), blocks.alias("_block"))
-        .repartition(partitions, *keys, "_block")
+    return (
+        cells.select(*keys, *more, *values, first.alias("_first"), last.alias("_last"), blocks.alias("_block"))
+        .repartition(partitions, *keys, *more, "_block")
         .select(
             *keys,
-            *parts,
+            *more,
+            *values,
             "_block",
             F.greatest("_first", block).alias("_from"),
             F.least(F.col("_last") + slide_s, block + block_s).alias("_until"),
         )
     )
-    exact = all(isinstance(placed.schema[p].dataType, EXACT_TYPES) for p in parts)
-    summed = (_by_changes if exact else _by_expansion)(placed, keys, slide_s, list(parts), present)
-    return summed.select(
-        *keys,
-        F.timestamp_seconds("_start").alias("window_start"),
-        F.timestamp_seconds(F.col("_start") + size_s).alias("window_end"),
-        *parts,
-    )
 
 
 def _by_changes(placed: DataFrame, keys: list[str], slide_s: int, parts: list[str], present: str) -> DataFrame:
@@ -209,6 +221,81 @@ def windowed_avg(
     return sums.select(*keys, "window_start", "window_end", mean)
 
 
+def windowed_extremes(
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    ts: str,
+    size: int | str,
+    slide: int | str | None = None,
+    lowest: str = "lowest",
+    highest: str = "highest",
+) -> DataFrame:
+    """Least and greatest ``value`` per key and window; null where a window's values are all null.
+
+    A least value cannot be taken back when a pane leaves a window, and rows are not multiplied by the overlap either.
+    Time is cut into chunks of the window's length, so that a window is the end of one chunk and the beginning of the
+    next. Running extremes over the panes of a chunk, forwards and backwards, then give each of its two parts. The work
+    grows with panes and results, and a busy key is spread over its chunks. Rows without a time are in no window.
+    """
+    keys, size_s = list(keys), seconds(size)
+    slide_s = seconds(slide) if slide is not None else size_s
+    extremes = {lowest: F.min(value), highest: F.max(value)}
+    if df.isStreaming or slide_s >= size_s:
+        return windowed_agg(df.select(*keys, ts, value), keys, ts, size_s, slide_s, **extremes)
+    parts = {"_low": extremes[lowest], "_high": extremes[highest], "_rows": F.count(F.lit(1))}
+    cells = _cells(df, keys, ts, size_s, slide_s, parts).filter(F.col("_pane").isNotNull())
+    windows = _by_changes(_placed(cells, keys, size_s, slide_s, ["_rows"]), keys, slide_s, ["_rows"], "_rows")
+
+    chunk = lambda at: aligned(at, size_s).alias("_chunk")
+    nothing = [F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in ("_low", "_high")]
+    start, end = F.col("_start"), F.col("_start") + size_s
+    no_start = F.lit(None).cast("bigint").alias("_start")
+    panes = cells.select(*keys, chunk(F.col("_pane")), F.col("_pane").alias("_at"), F.lit(0).alias("_kind"), no_start, "_low", "_high")
+    # Kind 1 looks from the window's start to the end of the chunk, kind -1 from the chunk's beginning to its end.
+    sides = F.explode(F.array(F.struct(start.alias("at"), F.lit(1).alias("kind")), F.struct(end.alias("at"), F.lit(-1).alias("kind"))))
+    asked = windows.select(*keys, "_start", sides.alias("_side"))
+    asked = asked.select(*keys, chunk(F.col("_side.at")), F.col("_side.at").alias("_at"), F.col("_side.kind").alias("_kind"), "_start", *nothing)
+    rows = panes.union(asked)
+    group = Window.partitionBy(*keys, "_chunk")
+    forwards = group.orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    backwards = group.orderBy(F.desc("_at"), "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = lambda pick, c: F.when(F.col("_kind") == 1, pick(c).over(backwards)).when(F.col("_kind") == -1, pick(c).over(forwards))
+    seen = rows.select(*keys, "_start", part(F.min, "_low").alias("_low"), part(F.max, "_high").alias("_high"))
+    merged = seen.filter(F.col("_start").isNotNull()).groupBy(*keys, "_start")
+    merged = merged.agg(F.min("_low").alias(lowest), F.max("_high").alias(highest))
+    return merged.select(*keys, *_bounds_of(start, size_s), lowest, highest)
+
+
+def windowed_distinct(
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    ts: str,
+    size: int | str,
+    slide: int | str | None = None,
+    count: str = "count",
+) -> DataFrame:
+    """Distinct values per key and window, null not counted (0 where all values of a window are null).
+
+    A value counts in the windows that hold any of its panes. Of every pane only the windows are taken that the value's
+    pane before it does not reach, so that these ranges do not overlap and add up by running changes: the work grows
+    with distinct values per pane and results, not with the overlap. Rows without a time are in no window.
+    """
+    keys, size_s = list(keys), seconds(size)
+    slide_s = seconds(slide) if slide is not None else size_s
+    if df.isStreaming or slide_s >= size_s:
+        return windowed_agg(df.select(*keys, ts, value), keys, ts, size_s, slide_s, **{count: F.count_distinct(value)})
+    cells = _cells(df, keys, ts, size_s, slide_s, {"_rows": F.lit(1).cast("bigint")}, [F.col(value).alias("_value")])
+    # Null has ranges like a value: windows that hold nothing else are there, and count 0.
+    placed = _placed(cells.filter(F.col("_pane").isNotNull()), keys, size_s, slide_s, ["_rows"], ["_value"])
+    before = F.lag("_until").over(Window.partitionBy(*keys, "_value", "_block").orderBy("_from", "_until"))
+    fresh = placed.withColumn("_from", F.greatest("_from", before)).filter(F.col("_from") < F.col("_until"))
+    fresh = fresh.withColumn(count, F.col("_value").isNotNull().cast("bigint"))
+    summed = _by_changes(fresh, keys, slide_s, [count, "_rows"], "_rows")
+    return summed.select(*keys, *_bounds_of(F.col("_start"), size_s), count)
+
+
 def page_views(df: DataFrame, ts: str, size: int | str = "1 hour", label: str = "pv") -> DataFrame:
     """Rows per tumbling window under a constant label."""
     ones = windowed_agg(df.select(ts), [], ts, size, None, count=F.sum(F.lit(1)))

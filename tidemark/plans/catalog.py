@@ -405,13 +405,9 @@ def avg_value_sliding(spark, sf_dir):
 
 @query
 def window_profile(spark, sf_dir):
-    return windows.windowed_agg(
-        behavior(spark, sf_dir),
-        ["behavior"],
-        "ts",
-        "1 hour",
-        "20 minutes",
-        lowest=F.min("value"),
-        highest=F.max("value"),
-        items=F.count_distinct("item_id"),
-    )
+    """Extremes and distinct items side by side, without a row per window and event."""
+    rows, by = behavior(spark, sf_dir), ["behavior", "window_start", "window_end"]
+    found = windows.windowed_extremes(rows, "value", ["behavior"], "ts", "1 hour", "20 minutes")
+    items = windows.windowed_distinct(rows, "item_id", ["behavior"], "ts", "1 hour", "20 minutes", "items")
+    both = found.unionByName(items, allowMissingColumns=True).groupBy(*by)
+    return both.agg(*[F.max(c).alias(c) for c in ("lowest", "highest", "items")])
