@@ -110,6 +110,9 @@ def test_vectors_repeated_rows_and_no_rows(spark):
     twice = near_duplicate_vectors(spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [-1.0, 0.0])], schema)).collect()
     assert sorted(tuple(r) for r in twice) == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)]
     assert near_duplicate_vectors(spark.createDataFrame([], schema)).collect() == []
+    other = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (4, [0.011, 1.0])]
+    found = near_duplicate_vectors(spark.createDataFrame(other, schema)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 2, 1)]
 
 
 # --- shingles --------------------------------------------------------------------------------------------------------
@@ -251,6 +254,17 @@ def test_equal_rows_are_each_others_repeats(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_many_equal_rows_and_clashing_columns(spark):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    df = spark.createDataFrame([(1, text, 5)] * 40 + [(2, "#" * 50 + text[300:600] + "?", 6), (3, "alone", 7)], "doc_id long, text string, kept int")
+    df = df.withColumn("n_bytes", F.lit("old"))
+    found = remove_repeats(df)
+    assert sorted(found.columns) == sorted(["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found.collect())
+    assert got == [(1, 900, 900, 1, b"")] * 40 + [(2, 351, 300, 1, b"#" * 50 + b"?"), (3, 5, 0, 0, b"alone")]
+
+
 def test_common_prefix_intervals():
     assert sorted(intervals([3, 5, 5, 0, 4], 1)) == [(3, 0, 3), (4, 4, 5), (5, 1, 3)]
 

@@ -94,6 +94,27 @@ def test_packing_repeated_rows_and_no_rows(spark):
     assert packed(spark.createDataFrame([], schema)) == []
 
 
+def test_packing_tiny_and_weightless_sources(spark):
+    import pyarrow as pa
+
+    from tidemark.llm.packing import Rounds, _cut
+
+    texts = [(i, "word " * (i % 37)) for i in range(60)]
+    df = spark.createDataFrame([(d, t, "ab"[d % 2]) for d, t in texts], "doc_id long, text string, source string")
+    rows = packed(df, weights={"a": 1.0, "b": 0.0})
+    check_packing(rows, texts)
+    ordered = sorted((r[5], r[6], "ab"[r[0] % 2]) for r in rows)
+    assert [s for *_, s in ordered] == sorted(s for *_, s in ordered)
+    check_packing(packed(df, weights={"b": 1.0}, max_queues=1), texts)
+    # A source of 1,000 tokens beside 10**12: millions of windows lie between its units.
+    rounds = Rounds([10**12, 1000], [1 << 30, 1], 64)
+    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "padded_length"]
+    schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in names])
+    row = pa.RecordBatch.from_pydict({"doc_id": [1], "q": [1], "place": [0], "n": [1000], "ids": [b"abcd" * 1000]})
+    found = pa.Table.from_batches(list(_cut(rounds, 1024, 10**12 + 1000, schema)([row]))).to_pydict()
+    assert found["start"][0] == 0 and sum(found["length"]) == 1000 and len(found["start"]) < 40
+
+
 # --- pieces ----------------------------------------------------------------------------------------------------------
 
 
@@ -354,6 +375,11 @@ def test_archive_round_trip(spark):
         head, body = bytes(r["record"]).split(b"\r\n\r\n", 1)
         assert head.startswith(b"WARC/1.1\r\n") and head.count(b"WARC-Type") + head.count(b"%0D%0AWARC-Type") >= 1
         assert int(re.search(rb"Content-Length: (\d+)", head)[1]) == len(body) - 4
+        assert b"\r\nWARC-Date: 1970-01-01T00:00:00Z\r\n" in head + b"\r\n" and b"\r\nWARC-Record-ID: <urn:uuid:" in head
+        if r["record_type"] == "response":
+            http, body = body.split(b"\r\n\r\n", 1)
+            assert http.startswith(b"HTTP/1.1 200 OK\r\n") and int(re.search(rb"Content-Length: (\d+)", http)[1]) == len(r["payload"])
+            assert b"Content-Type: application/http; msgtype=response" in head
         assert body == (bytes(r["payload"]) if r["record_type"] == "response" else b"") + b"\r\n\r\n"
     assert spark.read.parquet(f"{folder}/payloads").count() == len(largest)
 

@@ -13,6 +13,9 @@ from tidemark.session import shared_dir
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: The date of records where the caller gives none.
+EPOCH = "1970-01-01T00:00:00Z"
+
 
 def base32(hex_digest: Column) -> Column:
     """Base32 of a digest in hex whose length is a multiple of five digits (20 bits, four letters)."""
@@ -31,6 +34,12 @@ def _urn(page: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:00000000-0000-8000-"), F.substring(digits, 1, 4), F.lit("-"), F.substring(digits, 5, 12), F.lit(">"))
 
 
+def _urn_of_digest(digest_hex: Column) -> Column:
+    """A record id for rows without an id."""
+    parts = [F.substring(digest_hex, begin, n) for begin, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
+
+
 def _page_of(header: Column, name: str) -> Column:
     found = F.regexp_extract(header, rf"\r\n{name}: <urn:uuid:00000000-0000-8000-([0-9a-f]{{4}})-([0-9a-f]{{12}})>", 0)
     digits = F.regexp_replace(F.regexp_extract(found, r"8000-([0-9a-f-]+)>", 1), "-", "")
@@ -40,15 +49,24 @@ def _page_of(header: Column, name: str) -> Column:
 
 
 def write_archive(
-    df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0
+    df: DataFrame,
+    folder: str,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    payload_col: str = "html",
+    least: int = 0,
+    date: str = EPOCH,
 ) -> None:
     """Write ``folder/payloads`` (digest, payload, response) and ``folder/headers`` (digest, header).
 
+    A header is all of a record before its payload: the record's own fields, dated ``date``, and for responses the head
+    of an HTTP message with the payload as its body.
+
     One record per row, its payload the UTF-8 bytes of ``payload_col`` (null: empty). Payloads are stored once by
     SHA-256, with SHA-1 and length checked to agree among all that share it. Of records with equal payloads of at least
     ``least`` bytes that with the largest id is a response and the others revisit it; shorter payloads are responses
-    all. Rows with a null id revisit, or are responses without a record id if no row of the payload has an id. Rows
-    that repeat the response's id are responses too. Line breaks in a URL are escaped; a null URL has no header line.
+    all. Rows with a null id revisit, or are responses if no row of the payload has an id; their record id is made of
+    the payload's digest and the URL, and equal ones share it. Rows that repeat the response's id are responses too. Line breaks in a URL are escaped; a null URL has no header line.
     Other columns are ignored.
     """
     payload = F.encode(F.coalesce(F.col(payload_col).cast("string"), F.lit("")), "utf-8")
@@ -70,17 +88,23 @@ def write_archive(
     revisit = (F.col("size") >= least) & ~F.col("page").eqNullSafe(F.col("response"))
     url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"\r\n{name}: "), value), F.lit(""))
+    nameless = _urn_of_digest(F.sha2(F.concat(F.hex("digest"), F.coalesce(url, F.lit(""))), 256))
+    size = F.col("size").cast("string")
+    head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size, F.lit("\r\n\r\n"))
+    head = F.when(revisit, "").otherwise(head)
     header = F.concat(
         F.lit("WARC/1.1"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        line("WARC-Record-ID", _urn(F.col("page"))),
+        line("WARC-Record-ID", F.coalesce(_urn(F.col("page")), nameless)),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("sha1")))),
         line("WARC-Profile", F.when(revisit, PROFILE)),
         line("WARC-Refers-To", F.when(revisit, _urn(F.col("response")))),
-        line("Content-Type", F.when(~revisit, F.lit("text/html"))),
-        line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("size").cast("string"))),
+        line("Content-Type", F.when(~revisit, F.lit("application/http; msgtype=response"))),
+        line("Content-Length", F.when(revisit, F.lit("0")).otherwise((F.length(head) + F.col("size")).cast("string"))),
         F.lit("\r\n\r\n"),
+        head,
     )
     joined.select("digest", header.alias("header")).write.parquet(f"{folder}/headers")
 

@@ -58,15 +58,35 @@ JACCARD = f"""
 """
 
 ARCHIVE = """
-    WITH records AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
-    largest AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS response FROM records)
-    SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
-           array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
-               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-                      ((('0x' || substr(h, i * 5 + 1, 5))::INTEGER >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
-           CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
-           CASE WHEN page_id <> response THEN response END AS refers_to
-    FROM largest
+    WITH records AS (
+        SELECT page_id, url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h,
+               octet_length(encode(coalesce(html, '')))::BIGINT AS size, chr(13) || chr(10) AS nl,
+        FROM pages
+    ),
+    largest AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS response FROM records),
+    named AS (
+        SELECT *, page_id = response AS whole, lpad(lower(to_hex(page_id)), 16, '0') AS own, lpad(lower(to_hex(response)), 16, '0') AS other,
+               array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          ((('0x' || substr(h, i * 5 + 1, 5))::INTEGER >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+               'HTTP/1.1 200 OK' || nl || 'Content-Type: text/html; charset=utf-8' || nl || 'Content-Length: ' || size || nl || nl AS head
+        FROM largest
+    )
+    SELECT page_id, size AS payload_bytes, payload_digest,
+           CASE WHEN whole THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN NOT whole THEN response END AS refers_to,
+           sha256('WARC/1.1' || nl || 'WARC-Type: ' || CASE WHEN whole THEN 'response' ELSE 'revisit' END
+               || nl || 'WARC-Record-ID: <urn:uuid:00000000-0000-8000-' || own[1:4] || '-' || own[5:] || '>'
+               || nl || 'WARC-Date: 1970-01-01T00:00:00Z'
+               || coalesce(nl || 'WARC-Target-URI: ' || replace(replace(url, chr(13), '%0D'), chr(10), '%0A'), '')
+               || nl || 'WARC-Payload-Digest: sha1:' || payload_digest
+               || CASE WHEN whole THEN nl || 'Content-Type: application/http; msgtype=response'
+                      || nl || 'Content-Length: ' || (octet_length(encode(head)) + size) || nl || nl || head || body
+                  ELSE nl || 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest'
+                      || nl || 'WARC-Refers-To: <urn:uuid:00000000-0000-8000-' || other[1:4] || '-' || other[5:] || '>'
+                      || nl || 'Content-Length: 0' || nl || nl END
+               || nl || nl) AS record_sha256
+    FROM named
 """
 
 

@@ -76,10 +76,11 @@ class Rounds:
 
     def __init__(self, totals, rates, unit: int):
         self.totals, self.rates, self.unit = np.asarray(totals, np.int64), np.asarray(rates, np.int64), unit
+        self.done = -(-(self.totals << SHIFT) // self.rates)
 
     def served(self, k: np.ndarray) -> np.ndarray:
         """Rows: windows; columns: queues."""
-        due = (k[:, None] * self.rates[None, :]) >> SHIFT
+        due = (np.minimum(k[:, None], self.done[None, :]) * self.rates[None, :]) >> SHIFT
         return np.where(due >= self.totals, self.totals, due // self.unit * self.unit)
 
     def window(self, queue: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -91,10 +92,14 @@ class Rounds:
 def _cut(rounds: Rounds, width: int, total: int, schema: pa.Schema):
     def pieces(queue, place, count):
         """Arrays: row, start in the row, length, position in the packed stream."""
-        first, last = rounds.window(queue, place), rounds.window(queue, place + count - 1)
-        many = last - first + 1
+        first = place // rounds.unit
+        many = (place + count - 1) // rounds.unit - first + 1
         row = np.repeat(np.arange(len(queue)), many)
-        k = np.repeat(first - np.cumsum(many) + many, many) + np.arange(len(row))
+        served = np.repeat(first - np.cumsum(many) + many, many) + np.arange(len(row))
+        k = rounds.window(queue[row], served * rounds.unit)
+        # Only windows that serve a unit of the row: a small queue's units lie many windows apart.
+        fresh = np.concatenate([[True], (row[1:] != row[:-1]) | (k[1:] != k[:-1])])[: len(row)]
+        row, k = row[fresh], k[fresh]
         out = []
         step = max(1, (1 << 20) // len(rounds.totals))
         for i in range(0, len(row), step):
@@ -169,7 +174,8 @@ def pack(
     Ids are written once to the shared folder with their place among the partition's; counts per partition and queue
     then give every partition its place in the queues. The ``max_queues`` largest sources have queues of their own and
     all others share one, which bounds what travels to the tasks. Null text counts as empty (one id, ``end_id``), a
-    null source is a source; repeated rows are packed once each; other columns are ignored; no rows give no pieces.
+    null source is a source; sources without a weight, or with weight 0, come after all others; repeated rows are packed
+    once each; other columns are ignored; no rows give no pieces.
     """
     schema = "doc_id long, queue string, part int, begin long, n long, ids binary"
     arrow = pa.schema(
@@ -192,13 +198,18 @@ def pack(
     spark = df.sparkSession
     counts = materialise(stored.groupBy("queue", "part").agg(F.sum("n").alias("n")), "counts")
     per_queue = counts.groupBy("queue").agg(F.sum("n").alias("n"))
-    largest = per_queue.orderBy(F.desc("n"), "queue").limit(max_queues).collect()
+    # Sources with a weight come first, so that those that share a queue have none.
+    weighted = F.lit(False)
+    for q, w in (weights or {}).items():
+        weighted = weighted | (F.col("queue").eqNullSafe(F.lit(q)) & F.lit(w > 0))
+    largest = per_queue.orderBy(weighted.desc(), F.desc("n"), "queue").limit(max(max_queues, len(weights or ()))).collect()
     total = counts.agg(F.sum("n")).first()[0] or 0
     named = [(r["queue"], r["n"], i) for i, r in enumerate(largest)]
     totals = [n for _, n, _ in named]
     if sum(totals) < total or not totals:
         totals.append(total - sum(totals))
-    weight = [n if weights is None else weights.get(q, 0) for q, n, _ in named] + totals[len(named) :]
+    weight = [n if weights is None else weights.get(q, 0) for q, n, _ in named]
+    weight += totals[len(named) :] if weights is None else [0] * (len(totals) - len(named))
     scale = (window * width << SHIFT) / (sum(weight) or 1)
     rounds = Rounds(totals, [max(1, round(w * scale)) for w in weight], unit)
 

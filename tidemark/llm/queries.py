@@ -54,7 +54,8 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = archive_folder(spark)
     write_archive(_table(spark, sf_dir, "pages"), folder)
-    return read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records = read_archive(spark, folder).withColumn("record_sha256", F.sha2("record", 256))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_sha256")
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,12 +68,15 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of ids, decoded text and byte spans (all begins, then all ends), and the bytes that the spans reach."""
     pieces = encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return pieces.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(F.array_join(F.concat("begins", "ends").cast("array<string>"), " "), 256).alias("spans_sha256"),
+        F.array_max("ends").cast("long").alias("n_source_bytes"),
     )
 
 

@@ -251,6 +251,10 @@ def _remove(batches):
             yield pa.RecordBatch.from_arrays([part["row"], *columns], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
+#: What the operator adds to a row.
+COUNTED = ("n_bytes", "n_removed", "n_spans", "kept")
+
+
 def remove_repeats(
     df: DataFrame, text_col: str = "text", length: int = 200, size: int = 96
 ) -> DataFrame:
@@ -268,14 +272,15 @@ def remove_repeats(
     3. The spans of a row are merged and cut out.
 
     Rows are told apart by a 64-bit hash of all that they hold; equal rows are each other's repeats. Null texts count
-    as empty. Extra columns pass through. No rows give no rows.
+    as empty. Extra columns pass through, but for those named like the four of the result, which they replace. No rows
+    give no rows.
     """
     side = length - size
     names = df.columns
     rows = df.select(
         F.xxhash64(*[x for i, c in enumerate(names) for x in (F.lit(i), F.col(f"`{c}`").cast("string"))]).alias("key"),
         F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8").alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in names if c != text_col and c not in COUNTED]).alias("row"),
     )
     numbers = [pa.field(c, pa.int64()) for c in ("anchor", "context", "key", "place")]
     found = rows.select("key", "text").where(F.length("text") >= length)
@@ -294,16 +299,19 @@ def remove_repeats(
 
     asked = found.where("open AND first").groupBy("key").agg(F.collect_list(F.struct("anchor", "place")).alias("asked"))
     context = pa.schema([*[pa.field(c, pa.int64()) for c in ("anchor", "key", "low", "at")], pa.field("bytes", pa.binary())])
-    contexts = rows.select("key", "text").join(asked, "key").mapInArrow(
+    once = rows.where(F.length("text") >= length).groupBy("key").agg(F.first("text").alias("text"))
+    contexts = once.join(asked, "key").mapInArrow(
         _contexts(length, size, context), "anchor long, key long, low long, at long, bytes binary"
     )
     contexts = contexts.repartition("anchor").sortWithinPartitions("anchor", "key", "low")
     span = pa.schema([pa.field(c, pa.int64()) for c in ("key", "begin", "end")])
     partial = contexts.mapInArrow(_spans(length, span), "key long, begin long, end long")
-    spans = whole.union(partial).groupBy("key").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
+    # A set: equal rows name the same places, which then travel once.
+    spans = whole.union(partial).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    spans = spans.select("key", F.col("spans.begin").alias("begins"), F.col("spans.end").alias("ends"))
     spans = materialise(spans, "spans")
 
     joined = rows.join(spans, "key", "left").select("row", "text", "begins", "ends")
     row_type = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(_remove, f"row {row_type}, n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.select(*[F.col("row")[c].alias(c) for c in names if c != text_col], "n_bytes", "n_removed", "n_spans", "kept")
+    return out.select(*[F.col("row")[c].alias(c) for c in names if c != text_col and c not in COUNTED], *COUNTED)

@@ -263,7 +263,7 @@ def near_duplicate_vectors(
 
     Vectors that are null, zero, or hold null or non-finite components, and rows with a null id, link with nothing;
     so do vectors of different lengths with each other. A row without links is its own component. Repeated rows count
-    as rows of their own. Other columns are ignored.
+    as rows of their own, also those that repeat an id with another vector. Other columns are ignored.
     """
     floor = math.cos(min(math.pi, 2 * math.acos(threshold)))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
@@ -271,8 +271,9 @@ def near_duplicate_vectors(
     nonzero = F.exists("vec", lambda x: x != 0)
     ok = F.coalesce(F.col("id").isNotNull() & ~bad & nonzero, F.lit(False))
     rows = rows.withColumn("vec", F.when(ok, F.col("vec")))
-    classes = rows.where("vec is not null").groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
-    classes = materialise(classes, "classes")
+    classes = rows.where("vec is not null").groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    # A number of its own, as several classes can have the same smallest id; it is written, so it stays.
+    classes = materialise(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     bits = max(2, math.ceil(math.log2(max(1, classes.count()) / BUCKET + 1)))
     vec_of = classes.select(F.col("rep").alias("u"), "vec")
 
@@ -330,13 +331,16 @@ def near_duplicate_vectors(
     )
     counted = member.groupBy("component", "p", "q").applyInPandas(_block_counts(threshold), "rep long, links long")
     counted = counted.groupBy("rep").agg(F.sum("links").alias("links"))
+    named = sized.join(classes.select("rep", "id"), F.col("node") == F.col("rep"))
+    named = named.groupBy("component").agg(F.min("id").alias("component_id"))
     of_class = (
         classes.join(counted, "rep", "left")
         .join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        .join(named, "component", "left")
         .select(
             "vec",
             (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("component_id", "id").alias("component_id"),
         )
     )
     of_class = materialise(of_class, "counts")
