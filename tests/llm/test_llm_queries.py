@@ -81,7 +81,7 @@ def test_pieces(spark, texts):
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == digest(" ".join(map(str, ids)))
         assert r["decoded_sha256"] == digest(library.decode(ids))
         # A byte piece stands for one byte, an end id for none, all others for what the library calls their surface.
-        surfaces = [p.surface for p in library.encode(texts[r["doc_id"]], out_type="immutable_proto", add_eos=True).pieces]
+        surfaces = [*(p.surface for p in library.encode(texts[r["doc_id"]], return_type="proto").pieces), ""]
         sizes = [1 if library.is_byte(i) else 0 if library.is_control(i) else len(s.encode()) for i, s in zip(ids, surfaces, strict=True)]
         ends = np.cumsum(sizes).tolist()
         assert r["spans_sha256"] == digest(" ".join(map(str, [*([0, *ends][:-1]), *ends])))
