@@ -5,7 +5,9 @@ DataFrame functions and the DataFrame-based learning library only; no Python run
 
 from __future__ import annotations
 
+import json
 import math
+from collections.abc import Callable
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -58,15 +60,46 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _followed(left: Column, words: Column, by: int) -> Column:
+    """Every entry of ``left`` but the last with the word ``by`` places on."""
+    ends = F.slice(words, by + 1, F.size(words))
+    return F.zip_with(F.slice(left, 1, F.size(ends)), ends, lambda x, y: F.concat_ws(" ", x, y))
+
+
+def _on_grams(words: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` of the 2-grams and of the 3-grams, in order, with repeats."""
+    return _bound(words, lambda w: _bound(_followed(w, w, 1), lambda two: _bound(_followed(two, w, 2), lambda three: body(two, three))))
+
+
 def grams_of(words: Column) -> Column:
-    """Word 2-grams and 3-grams, in order, with repeats; the words themselves if there are fewer than two."""
+    """Word 2-grams and 3-grams, in order, with repeats; none if there are fewer than two words."""
+    return _on_grams(words, lambda two, three: F.concat(two, three))
+
+
+def template_grams_of(words: Column, wanted: list[str]) -> Column:
+    """Struct of the distinct grams in ``wanted`` and the number of all distinct grams; null without one in ``wanted``.
+
+    Every wanted 3-gram begins with a wanted 2-gram, so most lines are done after their 2-grams.
+    """
+    twos, threes = ([g for g in wanted if g.count(" ") == n] for n in (1, 2))
 
-    def run(i: Column, n: int) -> Column:
-        return F.array_join(F.slice(words, i, n), " ")
+    def rest(words: Column, two: Column, found: Column) -> Column:
+        def both(three: Column) -> Column:
+            longer = F.array_distinct(F.filter(three, lambda g: g.isin(threes)))
+            n = F.size(F.array_distinct(two)) + F.size(F.array_distinct(three))
+            return F.struct(F.concat(found, longer).alias("grams"), n.alias("n"))
 
-    size = F.size(words)
-    positions = lambda n: F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.concat(F.transform(positions(2), lambda i: run(i, 2)), F.transform(positions(3), lambda i: run(i, 3)))
+        return F.when(F.size(found) > 0, _bound(_followed(two, words, 2), both))
+
+    def first(words: Column, two: Column) -> Column:
+        return _bound(F.array_distinct(F.filter(two, lambda g: g.isin(twos))), lambda found: rest(words, two, found))
+
+    return _bound(words, lambda w: _bound(_followed(w, w, 1), lambda two: first(w, two)))
 
 
 def _templates(spark) -> DataFrame:
@@ -74,8 +107,11 @@ def _templates(spark) -> DataFrame:
     return spark.createDataFrame(rows, "template int, family string, line string").withColumn("words", words_of(F.col("line")))
 
 
-def _examples(templates: DataFrame, lines: DataFrame, sample: int) -> DataFrame:
-    """Whole templates and all their windows of two thirds of the words, against lines of the corpus."""
+def _examples(templates: DataFrame, lines: DataFrame, sample: int, wanted: list[str]) -> DataFrame:
+    """Whole templates and all their windows of two thirds of the words, against lines of the corpus.
+
+    Of a line only the ``wanted`` grams are kept, those that weigh something.
+    """
     size = F.size("words")
     width = F.ceil(size * 2 / 3).cast("int")
     windows = templates.select(
@@ -85,15 +121,14 @@ def _examples(templates: DataFrame, lines: DataFrame, sample: int) -> DataFrame:
     blank = templates.limit(1).select(F.lit(UNKNOWN).alias("family"), F.array(F.lit("")).alias("words"))
     known = templates.select("family", "words").union(windows).union(blank)
     # Only hashes are told apart over the corpus; the few lines that they stand for are looked up again.
-    hashed = lines.where(F.size("words") >= 2).select("line", F.xxhash64("line").alias("hash"))
-    smallest = hashed.select("hash").distinct().orderBy("hash").limit(sample)
+    hashed = lines.select("line", F.xxhash64("line").alias("hash"))
+    several = F.lower("line").rlike(r"[\p{L}\p{N}][^\p{L}\p{N}]+[\p{L}\p{N}]")
+    smallest = hashed.where(several).select("hash").distinct().orderBy("hash").limit(sample)
     rest = hashed.join(F.broadcast(smallest), "hash").select("line").distinct().withColumn("words", words_of(F.col("line")))
-    like = templates.select(F.explode(F.array_distinct(grams_of(F.col("words")))).alias("gram")).distinct()
-    shared = rest.select("line", "words", F.explode_outer(F.array_distinct(grams_of(F.col("words")))).alias("gram"))
-    shared = shared.join(F.broadcast(like.withColumn("hit", F.lit(1))), "gram", "left")
-    unlike = shared.groupBy("line", "words").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("hits"), F.count("*").alias("n"))
-    unlike = unlike.where("2 * hits < n").select(F.lit(UNKNOWN).alias("family"), "words")
-    return known.union(unlike).withColumn("grams", grams_of(F.col("words")))
+    own = F.explode_outer(F.array(template_grams_of(F.col("words"), wanted))).alias("own")
+    unlike = rest.select("words", own).where("own IS NULL OR 2 * size(own.grams) < own.n")
+    unlike = unlike.select(F.lit(UNKNOWN).alias("family"), "words", F.coalesce("own.grams", F.array().cast("array<string>")).alias("grams"))
+    return known.withColumn("grams", grams_of(F.col("words"))).union(unlike)
 
 
 def _softmax_loss(rows, families: list[str], temperature: float) -> float:
@@ -108,18 +143,19 @@ def _softmax_loss(rows, families: list[str], temperature: float) -> float:
 def train(lines: DataFrame, sample: int = 2000) -> tuple[DataFrame, dict[str, float], float]:
     """(weights per gram and family, intercepts, temperature) from templates and at most ``sample`` lines.
 
-    The lines (columns ``line``, ``words``) are those of smallest hash and stand for the unknown class.
+    The lines (column ``line``) are those of at least two words with the smallest hashes and stand for the unknown class.
 
     The vocabulary holds the grams of the templates only: other grams weigh nothing. The temperature is the one with
     the least loss on a fifth of the examples, which the weights have not seen.
     """
     spark = lines.sparkSession
     templates = _templates(spark)
-    examples = _examples(templates, lines, sample).cache()
-    families = sorted({f for f, _ in TEMPLATES}) + [UNKNOWN]
-    label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
     counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True)
     vocabulary = counter.fit(templates.withColumn("grams", grams_of(F.col("words"))))
+    # The learner passes over them for every iteration: their number is bounded, so a few tasks will do.
+    examples = _examples(templates, lines, sample, vocabulary.vocabulary).coalesce(4).cache()
+    families = sorted({f for f, _ in TEMPLATES}) + [UNKNOWN]
+    label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
     ready = vocabulary.transform(examples).withColumn("label", label)
     held = F.pmod(F.xxhash64(F.array_join("words", " ")), F.lit(5)) == 0
     whole = (F.col("family") != UNKNOWN) & (F.size("words") < 8)
@@ -148,11 +184,11 @@ def scan_licences(
     from 0), ``line`` (its lines), ``family``, ``probability``, ``template`` (the closest of the family), ``overlap``,
     ``confirmed``.
 
-    Every line of every text is scored: its 2-grams and 3-grams meet the weights of the trained classifier in a join
-    whose small side holds the grams of the templates and nothing that grows with the corpus; sums per line give the
-    logits, of which the unknown class is one. Successive lines of which at least a third of the grams is in a template
-    make a paragraph, so that wrapped notices come together without the text around them; paragraphs of several lines
-    are scored once more as wholes. ``overlap`` is the share of the template's grams that the paragraph has; a
+    Every line of every text is scored where it is read: its 2-grams and 3-grams meet the weights of the trained
+    classifier, a table of the templates' grams that does not grow with the corpus; sums per line give the logits, of
+    which the unknown class is one. A line without a template gram is unknown and goes no further. Successive lines of
+    which at least a third of the grams is in a template make a paragraph, so that wrapped notices come together without
+    the text around them; paragraphs of several lines are scored once more as wholes. ``overlap`` is the share of the template's grams that the paragraph has; a
     prediction is confirmed from ``least_overlap`` on.
 
     A line that is confirmed by itself stands for its paragraph, if the family is the same. Other lines of a confirmed
@@ -168,24 +204,23 @@ def scan_licences(
     lines = df.select(
         F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), F.posexplode(F.split(text, "\n", -1)).alias("paragraph", "line")
     )
-    lines = lines.withColumn("words", words_of(F.col("line")))
     weights, bias, temperature = model or train(lines, sample)
     families = list(bias)
-    # Of equal documents every gram comes as often as there are copies.
-    copies = F.count("*") / F.size(F.collect_set("gram"))
-    logits = F.array(*[(F.col(f"s{i}") / F.col("copies") + bias[f]) / temperature for i, f in enumerate(families)])
     names = F.array(*[F.lit(f) for f in families])
-
+    # Bounded by the templates: what the tasks get are literals.
+    table = {r["gram"]: r["weights"] for r in weights.collect()}
+    weight = F.from_json(F.lit(json.dumps(table)), "map<string,array<double>>")
     def score(units: DataFrame) -> DataFrame:
-        own = units.withColumn("own", F.array_distinct(grams_of(F.col("words")))).withColumn("n", F.size("own"))
-        # Not the plain explode: Spark would filter by the size of its argument below, with the words spelled out in it.
-        grams = own.select("id", "key", "paragraph", "line", "n", F.explode_outer("own").alias("gram"))
-        hits = grams.join(F.broadcast(weights), "gram")
-        summed = hits.groupBy("id", "key", "paragraph").agg(
-            *[F.sum(F.get("weights", F.lit(i))).alias(f"s{i}") for i in range(len(families))],
-            F.collect_set("gram").alias("grams"), copies.alias("copies"), F.first("line").alias("line"), F.max("n").alias("n"),
+        """Row by row, without a shuffle. The generators keep Spark from computing a column again in a filter on it."""
+        own = units.select("id", "key", "paragraph", "line", F.explode_outer(F.array(template_grams_of(words_of(F.col("line")), list(table)))).alias("own"))
+        own = own.where("own IS NOT NULL").select("id", "key", "paragraph", "line", "own.grams", "own.n")
+        summed = F.aggregate(
+            "grams",
+            F.array(*[F.lit(bias[f]) for f in families]),
+            lambda total, g: F.zip_with(total, F.element_at(weight, g), lambda a, x: a + x),
+            lambda total: F.transform(total, lambda a: a / temperature),
         )
-        scored = summed.withColumn("logits", logits).withColumn("top", F.array_max("logits"))
+        scored = own.select("*", F.explode_outer(F.array(summed)).alias("logits")).withColumn("top", F.array_max("logits"))
         total = F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
         scored = scored.withColumn("probability", 1 / total)
         scored = scored.withColumn("family", F.element_at(names, F.array_position("logits", F.col("top")).cast("int")))
@@ -193,14 +228,15 @@ def scan_licences(
         return scored.select("id", "key", "paragraph", "line", "family", "probability", "grams", "n", known.alias("known"))
 
     scored = score(lines).withColumn("like", 3 * F.size("grams") >= F.col("n"))
-    scored = materialise(scored.where(F.col("known") | F.col("like")), "licence-lines")
+    scored = scored.where(F.col("known") | F.col("like")).dropDuplicates(["key", "paragraph"])
+    scored = materialise(scored, "licence-lines")
     # Lines in succession differ from their place among the lines by the same number.
     place = F.row_number().over(Window.partitionBy("key").orderBy("paragraph"))
     runs = scored.where("like").withColumn("island", F.col("paragraph") - place)
     runs = runs.withColumn("run", F.min("paragraph").over(Window.partitionBy("key", "island")))
     wrapped = runs.groupBy("id", "key", "run").agg(F.sort_array(F.collect_list(F.struct("paragraph", "line"))).alias("all"))
     wrapped = wrapped.where(F.size("all") > 1).select("id", "key", F.col("run").alias("paragraph"), F.array_join("all.line", "\n").alias("line"))
-    wrapped = score(wrapped.withColumn("words", words_of(F.col("line")))).where("known")
+    wrapped = score(wrapped).where("known")
     columns = ["id", "key", "paragraph", "line", "family", "probability", "grams", "run", "whole"]
     alone = scored.where("known").join(runs.select("key", "paragraph", "run"), ["key", "paragraph"], "left")
     alone = alone.withColumn("run", F.coalesce("run", -1 - F.col("paragraph"))).withColumn("whole", F.lit(False)).select(columns)
