@@ -87,6 +87,22 @@ def test_windows_hold_the_mixture(spark):
     assert all(abs(windows[w, "b"] / 512 - 0.25) < 0.05 for w in range(last - 1))
 
 
+def test_small_sources_of_a_shared_queue_come_evenly(spark):
+    texts = [(i, "alpha beta gamma " * (1 + i % 9)) for i in range(3000)] + [(4000, "delta " * 3000), (4001, None)]
+    sources = {d: f"s{d % 2}" if d < 1500 else f"t{d % 40}" for d, _ in texts} | {4001: None}
+    rows = [(d, t, sources[d]) for d, t in texts]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    found = pack(df, BPE, width=64, window=8, unit=16, max_queues=2).collect()
+    check_packing(packed(df, max_queues=2), texts)
+    end = max(r["sequence_id"] for r in found) + 1
+    for source in [f"t{i}" for i in range(40)]:
+        mine = [r for r in found if sources[r["doc_id"]] == source]
+        total = sum(r["length"] for r in mine)
+        for part in (0.25, 0.5, 0.75):
+            early = sum(r["length"] for r in mine if r["sequence_id"] < part * end)
+            assert abs(early - part * total) < 100, (source, part, early, total)
+
+
 def test_packing_repeated_rows_and_no_rows(spark):
     schema = "doc_id long, text string, source string"
     rows = packed(spark.createDataFrame([(1, "same text", "s")] * 3 + [(None, "x", "s")], schema))

@@ -119,6 +119,12 @@ def _cut(rounds: Rounds, width: int, total: int, schema: pa.Schema):
             out.append((r[at], begin[at] - place[r[at]] + low - position[at], high - low, low))
         return [np.concatenate(x) for x in zip(*out, strict=True)]
 
+    def origin(part, count):
+        """Ids of the document before the row, and of the whole document: rows may be fragments."""
+        if "first" not in part.schema.names:
+            return np.zeros_like(count), count
+        return part["first"].to_numpy(), part["doc_tokens"].to_numpy()
+
     rest = total % width
     short = 1 << max(0, rest - 1).bit_length()
 
@@ -127,6 +133,7 @@ def _cut(rounds: Rounds, width: int, total: int, schema: pa.Schema):
             for part in slices(batch, "ids"):
                 count = part["n"].to_numpy()
                 row, start, length, position = pieces(part["q"].to_numpy(), part["place"].to_numpy(), count)
+                first, whole = origin(part, count)
                 ids = part["ids"].to_pylist()
                 cuts = [
                     ids[r][4 * s : 4 * (s + n)] for r, s, n in zip(row.tolist(), start.tolist(), length.tolist(), strict=True)
@@ -135,10 +142,10 @@ def _cut(rounds: Rounds, width: int, total: int, schema: pa.Schema):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"].take(pa.array(row)),
-                        pa.array(start),
+                        pa.array(start + first[row]),
                         pa.array(length),
                         pa.array(cuts, pa.binary()),
-                        pa.array(count[row]),
+                        pa.array(whole[row]),
                         pa.array(sequence),
                         pa.array(position % width),
                         pa.array(np.where(sequence == total // width, short, width)),
@@ -149,6 +156,34 @@ def _cut(rounds: Rounds, width: int, total: int, schema: pa.Schema):
     return run
 
 
+def _interleaved(rows: DataFrame, unit: int, total: int) -> DataFrame:
+    """Rows of many small queues as fragments of one shared queue, in which each keeps its proportion.
+
+    Unit ``j`` of a queue of ``m`` units stands at the point ``(j + phase) / m`` of the line from 0 to 1, the phase being
+    a hash of the queue; fragments follow one another in the order of these points. Points are spread evenly, so equal
+    cuts of the line make even groups, and sums per cut give every group its place.
+    """
+    place, ids = F.col("place"), F.col("ids")
+
+    def fragment(j):
+        begin, end = F.greatest(place, j * unit), F.least(place + F.col("n"), (j + 1) * unit)
+        data = F.substring(ids, (4 * (begin - place) + 1).cast("int"), (4 * (end - begin)).cast("int"))
+        return F.struct(j.alias("j"), begin.alias("begin"), (begin - place).alias("first"), (end - begin).alias("n"), data.alias("ids"))
+
+    whole = F.floor(place / unit), F.floor((place + F.col("n") - 1) / unit)
+    cut = rows.select("doc_id", "queue", "q", "of", "doc_tokens", F.explode(F.transform(F.sequence(*whole), fragment)).alias("f"))
+    phase = F.pmod(F.xxhash64("queue"), F.lit(1 << 20)) / float(1 << 20)
+    point = (F.col("f.j") + phase) / F.ceil(F.col("of") / unit)
+    groups = total // (unit << 16) + 1
+    cut = cut.select("doc_id", "queue", "q", "doc_tokens", "f.*", point.alias("point"), F.floor(point * groups).alias("g"))
+    cut = materialise(cut, "fragments")
+    before = cut.groupBy("g").agg(F.sum("n").alias("size"))
+    before = before.select("g", (F.sum("size").over(Window.orderBy("g")) - F.col("size")).alias("before"))
+    inside = Window.partitionBy("g").orderBy("point", "queue", "begin").rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(before, "g")
+    return cut.select("doc_id", "q", (F.col("before") + F.col("inside")).alias("place"), "n", "ids", "first", "doc_tokens")
+
+
 def pack(
     df: DataFrame,
     tokenizer: str,
@@ -172,8 +207,9 @@ def pack(
     pass. An empty queue's turn goes to the others. Only the last sequence is short; it is padded to a power of two.
 
     Ids are written once to the shared folder with their place among the partition's; counts per partition and queue
-    then give every partition its place in the queues. The ``max_queues`` largest sources have queues of their own and
-    all others share one, which bounds what travels to the tasks. Null text counts as empty (one id, ``end_id``), a
+    then give every partition its place in the queues. The ``max_queues`` largest sources have queues of their own, which
+    bounds what travels to the tasks; all others share one, in which their units are interleaved in proportion, so that
+    they too come evenly from the first window to the last. Null text counts as empty (one id, ``end_id``), a
     null source is a source; sources without a weight, or with weight 0, come after all others; repeated rows are packed
     once each; other columns are ignored; no rows give no pieces.
     """
@@ -215,17 +251,25 @@ def pack(
 
     numbers = spark.createDataFrame([(q, i) for q, _, i in named], "queue string, q long")
     numbered = counts.alias("c").join(F.broadcast(numbers.alias("m")), F.expr("c.queue <=> m.queue"), "left")
-    numbered = numbered.select("c.queue", "part", "n", F.coalesce("q", F.lit(len(named))).alias("q"))
-    inside = Window.partitionBy("q", "part").orderBy("queue")
-    numbered = numbered.withColumn("inner", F.sum("n").over(inside) - F.col("n"))
-    across = Window.partitionBy("q").orderBy("part")
-    outer = numbered.groupBy("q", "part").agg(F.sum("n").alias("n"))
-    outer = outer.select("q", "part", (F.sum("n").over(across) - F.col("n")).alias("outer"))
-    bases = numbered.join(outer, ["q", "part"]).select("queue", "part", "q", (F.col("inner") + F.col("outer")).alias("base"))
+    whole = Window.partitionBy("c.queue")
+    bases = numbered.select(
+        "c.queue",
+        "part",
+        F.coalesce("q", F.lit(len(named))).alias("q"),
+        (F.sum("n").over(whole.orderBy("part")) - F.col("n")).alias("base"),
+        F.sum("n").over(whole).alias("of"),
+    )
     bases = materialise(bases, "bases")
 
     placed = stored.alias("s").join(bases.alias("b"), F.expr("s.part = b.part AND s.queue <=> b.queue"))
-    placed = placed.select("doc_id", "q", (F.col("base") + F.col("begin")).alias("place"), "n", "ids")
+    placed = placed.select(
+        "doc_id", "s.queue", "q", "of", (F.col("base") + F.col("begin")).alias("place"), "n", "ids", F.col("n").alias("doc_tokens")
+    )
+    alone = placed.where(F.col("q") < len(named)) if len(totals) > len(named) else placed
+    columns = ["doc_id", "q", "place", "n", "ids", "first", "doc_tokens"]
+    units = alone.withColumn("first", F.lit(0).cast("long")).select(columns)
+    if len(totals) > len(named):
+        units = units.union(_interleaved(placed.where(F.col("q") == len(named)), unit, totals[-1]).select(columns))
     out = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -239,4 +283,4 @@ def pack(
         ]
     )
     result = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, padded_length long"
-    return placed.mapInArrow(_cut(rounds, width, total, out), result).withColumnRenamed("doc_id", id_col)
+    return units.mapInArrow(_cut(rounds, width, total, out), result).withColumnRenamed("doc_id", id_col)
