@@ -11,7 +11,7 @@ from streams import as_stream, before_end, drain, drain_into, lines
 
 from tidemark.operators import running_count_per_day, top_n, windowed_count
 from tidemark.plans import jobs
-from tidemark.streaming import CompactedLog, corrected_top_n, sliding_counts
+from tidemark.streaming import CompactedLog, corrected_top_n, sliding_counts, write_corrected_top_n
 
 T0 = 1_700_000_000
 DISORDER = {"delay": "5 minutes", "swap": 3}
@@ -101,6 +101,92 @@ def test_late_rows_correct_a_ranking(spark, events):
     assert sum(name.startswith("base-") for name in os.listdir(out)) == 1
 
 
+def _in_files(df, parts, delay):
+    """A stream whose files hold the rows of ``parts``, one micro-batch each."""
+    folder = tempfile.mkdtemp(prefix="tidemark-stream-")
+    for i, part in enumerate(parts):
+        df.where(part).coalesce(1).write.parquet(f"{folder}/{i}")
+        for name in os.listdir(f"{folder}/{i}"):
+            os.utime(f"{folder}/{i}/{name}", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+    return stream.option("recursiveFileLookup", "true").parquet(folder).withWatermark("ts", delay)
+
+
+def test_corrected_hot_items_hold_no_row_per_item_and_window(spark, events):
+    """What a view leaves behind is one row per item and pane, not one in each of twelve windows."""
+    views = events.withColumn("item_id", F.col("user_id") * 1000 + F.col("event_id") % 7).withColumn("behavior", F.lit("pv"))
+    out, state = tempfile.mkdtemp(prefix="tidemark-out-"), tempfile.mkdtemp(prefix="tidemark-state-")
+    log, held = CompactedLog(out, every=2), []
+    stream = _in_files(views, [F.col("event_id") % 5 == i for i in range(5)], "20 days")
+    query = jobs.write_corrected_hot_items(stream, log.append, state).trigger(availableNow=True).start()
+    query.awaitTermination()
+    for progress in query.recentProgress:
+        held.append(sum(s["numRowsTotal"] for s in progress["stateOperators"]))
+    panes = views.select("item_id", F.window("ts", "5 minutes")).distinct().count()
+    assert len(held) >= 5 and max(held) <= panes
+    kept = CompactedLog(f"{state}/panes").read(spark)
+    assert kept.count() == panes and kept.agg(F.sum("change")).first()[0] == views.count()
+    assert lines(log.read(spark).drop("change")) == lines(jobs.hot_items(views))
+
+
+@pytest.mark.parametrize("size, slide", [("25 minutes", "10 minutes"), ("20 minutes", "20 minutes")])
+def test_corrected_rankings_from_panes_are_those_of_windows(spark, events, size, slide):
+    """The same changes, micro-batch by micro-batch, as from the counts per window, late and too late rows included."""
+    hours = [F.col("event_id").between(i * 12, i * 12 + 11) for i in range(10)]
+    early = lambda i: (F.col("event_id") % 7 == i) & (F.col("event_id") < 50)
+    stays = ~((F.col("event_id") % 7).isin(1, 2, 3) & (F.col("event_id") < 50))
+    parts = [p & stays for p in hours[:5]] + [hours[5] | early(1), hours[6] | early(2), hours[7], hours[8] | early(3), hours[9]]
+    found = []
+    for write in (
+        lambda stream, sink, state: write_corrected_top_n(stream, sink, state, "user_id", "ts", size, slide, 2),
+        lambda stream, sink, state: windowed_count(stream, ["user_id"], "ts", size, slide).writeStream.outputMode("update").foreachBatch(
+            corrected_top_n(sink, state, "count", "user_id", 2)
+        ),
+    ):
+        given = {}
+
+        def sink(changes, batch_id):
+            given[batch_id] = lines(changes)
+
+        state = tempfile.mkdtemp(prefix="tidemark-state-")
+        write(_in_files(events, parts, "15 minutes"), sink, state).trigger(availableNow=True).start().awaitTermination()
+        found.append({k: v for k, v in given.items() if v})
+    assert found[0] == found[1] and len(found[0]) >= 8
+    total = {}
+    for row in (r for rows in found[0].values() for r in rows):
+        total[row[1:]] = total.get(row[1:], 0) + int(row[0])
+    assert set(total.values()) <= {0, 1}
+    # Rows that come after their windows have closed are left out.
+    whole = top_n(windowed_count(events, ["user_id"], "ts", size, slide), "window_end", "count", "user_id", 2)
+    assert {k for k, n in total.items() if n} != {tuple(r) for r in lines(whole)}
+
+
+def test_a_repeated_micro_batch_gives_the_same_changes(spark, events):
+    """Also where its panes have been folded before the failure."""
+    state = tempfile.mkdtemp(prefix="tidemark-state-")
+    steps, given = [], []
+
+    class Writer:
+        foreachBatch = steps.append
+
+        def outputMode(self, mode):
+            return self
+
+    class Rows:
+        schema = events.schema
+        select = lambda self, *columns: self
+        writeStream = Writer()
+
+    write_corrected_top_n(Rows(), lambda changes, i: given.append(lines(changes)), state, "user_id", "ts", "30 minutes", "10 minutes", 2, every=2)
+    for i in range(3):
+        batch = events.where(F.col("event_id") % 3 == i)
+        steps[0](batch, i)
+        if i < 2:
+            steps[0](batch, i)
+    assert given[0] == given[1] and given[2] == given[3] and given[2] and given[4]
+    assert sorted(os.listdir(f"{state}/panes")) == ["base-1", "part-2"]
+
+
 class Held:
     """State of one key in memory, counting the rows that are read from it."""
 

@@ -21,7 +21,7 @@ from ..operators.patterns import FOLLOWED_BY, MATCHED, NEXT, Step, match_sequenc
 from ..operators.ranking import top_n
 from ..operators.windows import windowed_count
 from ..sources.parsing import exclude_static_assets
-from ..streaming.corrected import corrected_top_n
+from ..streaming.corrected import write_corrected_top_n
 from ..streaming.sinks import ranked_sink
 from ..streaming.sliding import sliding_counts
 
@@ -101,8 +101,8 @@ def write_corrected_hot_items(
 ) -> DataStreamWriter:
     """The rankings of a stream as changes, from the first row of a window on and corrected by late rows until the
     watermark has passed its end. ``streaming.CompactedLog`` keeps their sum."""
-    counts = item_window_counts(behavior, size, slide, wanted)
-    return counts.writeStream.outputMode("update").foreachBatch(corrected_top_n(sink, state_path, "count", "item_id", n))
+    views = behavior.filter(F.col("behavior") == wanted)
+    return write_corrected_top_n(views, sink, state_path, "item_id", "ts", size, slide, n)
 
 
 def write_hot_urls(

@@ -1,4 +1,4 @@
-from .corrected import CompactedLog, corrected_top_n
+from .corrected import CompactedLog, corrected_top_n, write_corrected_top_n
 from .sinks import ranked_sink, read_latest, running_top_n, running_unique_sink, upsert_log
 from .sliding import sliding_counts
 
@@ -11,4 +11,5 @@ __all__ = [
     "running_unique_sink",
     "sliding_counts",
     "upsert_log",
+    "write_corrected_top_n",
 ]

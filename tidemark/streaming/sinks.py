@@ -133,9 +133,9 @@ def _open_windows(df: DataFrame, window_end: str) -> DataFrame:
     return df if watermark is None else df.filter(F.col(window_end) > F.lit(watermark).cast("timestamp"))
 
 
-def _forget(spark: SparkSession, state_path: str, batch_id: int) -> None:
+def _forget(spark: SparkSession, state_path: str, batch_id: int, kinds: Sequence[str] = ("rows", "state")) -> None:
     """Empty the tables two micro-batches back; the one before is needed if this one is repeated."""
-    for kind in ("rows", "state"):
+    for kind in kinds:
         if batch_id >= 2:
             old = f"{state_path}/{kind}={batch_id - 2}"
             schema = spark.read.parquet(f"{state_path}/{kind}={batch_id}").schema
