@@ -11,6 +11,7 @@ from streams import as_stream, before_end, drain, drain_into, lines
 
 from tidemark.operators import running_count_per_day, top_n, windowed_count
 from tidemark.plans import jobs
+from tidemark.plans.catalog import QUERIES
 from tidemark.streaming import CompactedLog, corrected_top_n, sliding_counts, write_corrected_top_n
 
 T0 = 1_700_000_000
@@ -161,6 +162,19 @@ def test_corrected_rankings_from_panes_are_those_of_windows(spark, events, size,
     assert {k for k, n in total.items() if n} != {tuple(r) for r in lines(whole)}
 
 
+def test_views_that_come_decades_late_count(spark):
+    """Every file of the query's stream holds views of 1995 and of 2024."""
+    folder = tempfile.mkdtemp(prefix="tidemark-in-")
+    n = F.col("id")
+    at = F.when(n % 2 == 0, T0).otherwise(T0 - 29 * 365 * 86400) + n * 60
+    rows = spark.range(60).select(
+        n.alias("event_id"), F.timestamp_seconds(at).alias("ts"), n.alias("user_id"), F.lit("view").alias("event_type"),
+        F.lit(1.0).alias("value"), F.format_string('{"k": %d}', n % 4).alias("props"),
+    )
+    rows.write.parquet(f"{folder}/events.parquet")
+    assert lines(QUERIES["corrected_hot_items"](spark, folder)) == lines(QUERIES["hot_items"](spark, folder))
+
+
 def test_a_repeated_micro_batch_gives_the_same_changes(spark, events):
     """Also where its panes have been folded before the failure."""
     state = tempfile.mkdtemp(prefix="tidemark-state-")
